@@ -17,8 +17,9 @@ from litwire import fixed
 _MAY_CHANGE = (
     r"[^\x00-\x25\x27-\x7FÀ-ıĴ-ľŁ-ňŊ-ž"
     r"Α-Ωα-ωА-я–—‘-”"
-    r"、。〈-】一-鿿가-힣]"
+    r"、。〈-】一-鿿가-힣\uE000]"
 )
+_SEPARATOR = "\ue000"
 
 
 @F.pandas_udf(T.StringType())
@@ -43,6 +44,16 @@ def clean_space(text: Column) -> Column:
     return squeeze(F.coalesce(decoded, text))
 
 
+def clean_array(values: Column) -> Column:
+    """``clean_space`` for every element, empty ones dropped.
+
+    Python functions cannot run inside array expressions, so the elements
+    travel as one text with a private separator.
+    """
+    joined = clean_space(F.array_join(values, _SEPARATOR))
+    return F.filter(F.split(joined, f" ?{_SEPARATOR} ?"), lambda v: v != "")
+
+
 def strip_tags(text: Column) -> Column:
     return clean_space(F.regexp_replace(text, "<[^>]+>", " "))
 
