@@ -84,13 +84,17 @@ def fold_case(text: Column) -> Column:
 
 def unique_strings(values: Column) -> Column:
     """Distinct non-empty strings regardless of case, first spelling kept."""
-    kept = F.filter(F.transform(values, squeeze), lambda v: v != "")
-    folded = F.transform(kept, fold_case)
-    return F.when(
-        F.size(F.array_distinct(folded)) == F.size(kept), kept
-    ).otherwise(
-        F.filter(kept, lambda v, i: F.array_position(folded, fold_case(v)) == i + 1)
-    )
+    none = F.array().cast(T.ArrayType(T.StringType()))
+    start = F.struct(none.alias("seen"), none.alias("kept"))
+
+    def step(acc: Column, value: Column) -> Column:
+        key = fold_case(value)
+        grown = F.struct(
+            F.array_append(acc["seen"], key).alias("seen"), F.array_append(acc["kept"], value).alias("kept")
+        )
+        return F.when((value == "") | F.array_contains(acc["seen"], key), acc).otherwise(grown)
+
+    return F.aggregate(F.transform(values, squeeze), start, step, lambda acc: acc["kept"])
 
 
 def truncate(text: Column, limit: int) -> Column:

@@ -84,7 +84,8 @@ def split_conflicts(papers: DataFrame) -> DataFrame:
     odd = judged.where(F.col("title_score").isNotNull())
 
     def by_family(rows: DataFrame) -> DataFrame:
-        return rows.select(F.concat_ws("|", "key", F.explode("families")).alias("kf"), "ord")
+        each = rows.select("key", F.explode("families").alias("f"), "ord")
+        return each.select(F.concat_ws("|", "key", "f").alias("kf"), "ord")
 
     known = by_family(judged.where(F.col("title_score").isNull())).groupBy("kf").agg(F.min("ord").alias("since"))
     while True:

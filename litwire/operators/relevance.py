@@ -48,7 +48,7 @@ def _native(records: DataFrame, rows: list[Row], title: Column, body: Column) ->
             F.lit(p).alias("profile_id"),
             hits("_title", terms).alias("title_hits"),
             hits("_body", terms).alias("body_hits"),
-            F.col("_body").rlike(fixed.NEGATIVE_MENTION + re.escape(p.lower())).alias("negative_only"),
+            F.col("_body").rlike("(?U)" + fixed.NEGATIVE_MENTION + re.escape(p.lower())).alias("negative_only"),
         )
         for p, terms in sorted(by_profile.items())
     ]

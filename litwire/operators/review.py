@@ -81,7 +81,7 @@ def apply_verdicts(items: DataFrame, groups: DataFrame, verdicts: DataFrame) ->
         "block",
         "group_no",
         F.explode("indexes").alias("ord"),
-        F.coalesce("keep", F.element_at("indexes", 1)).alias("keep"),
+        F.coalesce("keep", F.get("indexes", F.lit(0))).alias("keep"),
     )
     asked = groups.select("block", "group_no", "ord")
     gone = cases.where(F.col("ord") != F.col("keep")).join(asked, ["block", "group_no", "ord"], "left_semi")

@@ -17,7 +17,7 @@ PAPER = (
     .add("abstract", "string")
     .add("authors", _STRINGS)
     .add("journal", "string")
-    .add("year", "int")
+    .add("year", "integer")
     .add("volume", "string")
     .add("issue", "string")
     .add("pages", "string")

@@ -12,6 +12,7 @@ from litwire.functions.text import (
     clean_array,
     clean_space,
     rebuild_from_positions,
+    squeeze,
     strip_tags,
     unique_strings,
 )
@@ -89,7 +90,8 @@ def pubmed_rows(rows: DataFrame) -> DataFrame:
     entries = F.coalesce(F.col("PubmedData.ArticleIdList.ArticleId"), F.array().cast("array<struct<_IdType:string,_VALUE:string>>"))
 
     def article_id(kind: str) -> Column:
-        return blank_to_null(F.trim(F.element_at(F.filter(entries, lambda e: e["_IdType"] == kind), -1)["_VALUE"]))
+        last = F.try_element_at(F.filter(entries, lambda e: e["_IdType"] == kind), F.lit(-1))
+        return blank_to_null(F.trim(last["_VALUE"]))
 
     part = r"(?s)<AbstractText([^>]*)>(.*?)</AbstractText>"
     pieces = F.arrays_zip(
@@ -117,13 +119,14 @@ def pubmed_rows(rows: DataFrame) -> DataFrame:
     issue = article["Journal"]["JournalIssue"]
     online, printed = day(F.get(article["ArticleDate"], F.lit(0))), day(issue["PubDate"])
     pmid = F.coalesce(article_id("pubmed"), blank_to_null(F.trim(citation["PMID"])))
+    staged = rows.where(article.isNotNull()).withColumn("_abstract", F.array_join(labelled, " "))
     return conform(
-        rows.where(article.isNotNull()).select(
+        staged.select(
             F.lit("PubMed").alias("source"),
             _ids(pmid=pmid, pmcid=article_id("pmc")).alias("source_ids"),
             F.lower(article_id("doi")).alias("doi"),
             _flat(article["ArticleTitle"]).alias("title"),
-            clean_space(F.array_join(labelled, " ")).alias("abstract"),
+            clean_space(F.col("_abstract")).alias("abstract"),
             clean_array(names).alias("authors"),
             clean_space(article["Journal"]["Title"]).alias("journal"),
             F.year(F.coalesce(printed, online)).alias("year"),
@@ -236,15 +239,16 @@ def semantic_scholar_rows(rows: DataFrame) -> DataFrame:
 
 def openalex_rows(rows: DataFrame) -> DataFrame:
     r = rows.select(F.explode("results").alias("r"))
+    r = r.withColumn("_abstract", rebuild_from_positions(F.col("r.abstract_inverted_index")))
     place = F.col("r.primary_location")
-    pmid = blank_to_null(F.element_at(F.split(clean_space(F.col("r.ids.pmid")), "/"), -1))
+    pmid = blank_to_null(F.element_at(F.split(squeeze(F.col("r.ids.pmid")), "/"), -1))
     return conform(
         r.select(
             F.lit("OpenAlex").alias("source"),
             _ids(openalex=F.col("r.id"), pmid=pmid).alias("source_ids"),
             blank_to_null(F.lower(F.regexp_replace(clean_space(F.col("r.ids.doi")), "^https://doi\\.org/", ""))).alias("doi"),
             clean_space(F.col("r.title")).alias("title"),
-            clean_space(rebuild_from_positions(F.col("r.abstract_inverted_index"))).alias("abstract"),
+            clean_space(F.col("_abstract")).alias("abstract"),
             clean_array(F.transform("r.authorships", lambda a: a["author"]["display_name"])).alias("authors"),
             clean_space(place["source"]["display_name"]).alias("journal"),
             _year(F.col("r.publication_year")).alias("year"),
@@ -260,7 +264,8 @@ def openalex_rows(rows: DataFrame) -> DataFrame:
 def preprint_rows(rows: DataFrame, server: str | None = None) -> DataFrame:
     r = rows.select(F.explode("collection").alias("r"))
     name = F.lit(server) if server else F.coalesce("r.server", F.lit("preprint"))
-    doi = _lower(F.col("r.doi"))
+    r = r.withColumns({"_doi": _lower(F.col("r.doi")), "_authors": clean_space(F.coalesce("r.authors", F.lit("")))})
+    doi = F.col("_doi")
     version = F.coalesce("r.version", F.lit("1"))
     return conform(
         r.select(
@@ -269,7 +274,7 @@ def preprint_rows(rows: DataFrame, server: str | None = None) -> DataFrame:
             doi.alias("doi"),
             strip_tags(F.col("r.title")).alias("title"),
             strip_tags(F.col("r.abstract")).alias("abstract"),
-            unique_strings(F.split(clean_space(F.coalesce("r.authors", F.lit(""))), "[;,]")).alias("authors"),
+            unique_strings(F.split("_authors", "[;,]")).alias("authors"),
             name.alias("journal"),
             F.left("r.date", F.lit(4)).try_cast("int").alias("year"),
             parse_date(F.col("r.date")).alias("online_date"),

@@ -12,9 +12,13 @@ from litwire.operators.ranking import top_k
 
 
 def write_issue(df: DataFrame, path: str) -> None:
-    """Replace the partitions (profile_id, issue_date) present in ``df``."""
+    """Replace the partitions (profile_id, issue_date) present in ``df``.
+
+    Rebalancing puts a partition into few files and still splits a large one.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "profile_id", "issue_date")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("profile_id", "issue_date")
         .parquet(path)
