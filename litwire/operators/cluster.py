@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from litwire import fixed
 from litwire.functions.fuzzy import indel_ratio
-from litwire.operators.similarity import candidate_pairs, heavy_grams, similar_pairs, with_signature
+from litwire.operators.similarity import GramStats, gram_stats, similar_pairs, with_signature
 from litwire.session import cut
 
 SMALL_BATCH = 2_000
@@ -31,8 +31,8 @@ def same_author(a: str = "author_a", b: str = "author_b"):
     return (F.col(a) == "") | (F.col(b) == "") | (indel_ratio(F.col(a), F.col(b)) >= fixed.AUTHOR_RATIO)
 
 
-def _edges(titles: DataFrame, threshold: int, heavy, right: DataFrame | None = None) -> DataFrame:
-    pairs = similar_pairs(titles, threshold, right=right, heavy=heavy)
+def _edges(titles: DataFrame, threshold: int, stats: GramStats, right: DataFrame | None = None) -> DataFrame:
+    pairs = similar_pairs(titles, threshold, right=right, stats=stats)
     if "author" in titles.columns:
         pairs = pairs.where(same_author())
     return pairs.select("a", "b")
@@ -54,7 +54,7 @@ def resolve_leaders(edges: DataFrame) -> DataFrame:
     return led.groupBy("b").agg(F.min("a").alias("leader"))
 
 
-def _prefix_cut(open_titles: DataFrame, threshold: int, heavy, budget: int) -> int | None:
+def _prefix_cut(open_titles: DataFrame, threshold: int, stats: GramStats, budget: int) -> int | None:
     """Last ``ord`` of the largest prefix whose join stays within ``budget``.
 
     NULL means everything fits. Counts per gram and level come from one
@@ -63,7 +63,7 @@ def _prefix_cut(open_titles: DataFrame, threshold: int, heavy, budget: int) -> i
     shares = [4.0**-k for k in range(LEVELS, 0, -1)]
     cuts = sorted(set(open_titles.agg(F.percentile_approx("ord", shares, 10_000)).first()[0]))
     level = reduce(lambda c, i: c.when(F.col("ord") <= cuts[i], i), range(1, len(cuts)), F.when(F.col("ord") <= cuts[0], 0))
-    signed = with_signature(open_titles, threshold, heavy)
+    signed = with_signature(open_titles, threshold, stats)
     per_gram = (
         signed.select("block", level.otherwise(len(cuts)).alias("level"), F.explode("sig.grams").alias("gram"))
         .groupBy("block", "gram")
@@ -85,13 +85,13 @@ def leader_clusters(titles: DataFrame, threshold: int, budget: int | None = None
     spark = titles.sparkSession
     budget = budget or PAIRS_PER_CORE * spark.sparkContext.defaultParallelism
     everything = cut(titles)
-    heavy = heavy_grams(everything, threshold)
+    stats = gram_stats(everything, threshold)
     rest, found = everything, []
     while True:
         left = rest.count()
-        stop = None if left <= small else _prefix_cut(rest, threshold, heavy, budget)
+        stop = None if left <= small else _prefix_cut(rest, threshold, stats, budget)
         batch = rest if stop is None else rest.where(F.col("ord") <= stop)
-        edges = cut(_edges(batch, threshold, heavy))
+        edges = cut(_edges(batch, threshold, stats))
         if not edges.isEmpty():
             found.append(resolve_leaders(edges).select(F.col("b").alias("ord"), "leader"))
         if stop is None:
@@ -100,7 +100,7 @@ def leader_clusters(titles: DataFrame, threshold: int, budget: int | None = None
         leaders = batch if edges.isEmpty() else batch.join(found[-1].select("ord"), "ord", "left_anti")
         # Grams of a leader are joined with later titles only, and the partial
         # minimum keeps one row per matched title.
-        matched = cut(_edges(leaders, threshold, heavy, right=later).groupBy("b").agg(F.min("a").alias("leader")))
+        matched = cut(_edges(leaders, threshold, stats, right=later).groupBy("b").agg(F.min("a").alias("leader")))
         found.append(matched.select(F.col("b").alias("ord"), "leader"))
         rest = cut(later.join(matched.select(F.col("b").alias("ord")), "ord", "left_anti"))
     ids = everything.select("ord")

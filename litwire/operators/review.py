@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from litwire import fixed
 from litwire.functions.text import squeeze
 from litwire.operators.ranking import top_k
-from litwire.operators.similarity import heavy_grams, similar_pairs
+from litwire.operators.similarity import gram_stats, similar_pairs
 from litwire.session import cut
 
 
@@ -28,12 +28,12 @@ def review_groups(
     as it takes to fill the groups, so the whole band is never listed.
     """
     items = cut(items)
-    heavy = heavy_grams(items, low)
+    stats = gram_stats(items, low)
     open_items, parts, start, stop = items, [], 0, first_heads
     order = [F.col("ord")]
     while True:
         ranked = top_k(open_items, stop, order, ["block"], name="_r").where(F.col("_r") > start).drop("_r")
-        pairs = similar_pairs(ranked, low, below=high, right=open_items, heavy=heavy).where(F.col("a") < F.col("b"))
+        pairs = similar_pairs(ranked, low, below=high, right=open_items, stats=stats).where(F.col("a") < F.col("b"))
         near = top_k(pairs.select("block", "a", "b"), size - 1, [F.col("b")], ["block", "a"], name="pos")
         parts.append(cut(near))
         found = reduce(DataFrame.unionByName, parts)

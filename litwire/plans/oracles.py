@@ -329,9 +329,9 @@ CONFLICTS = (
     f"WITH {RECORDS}, p AS (SELECT doc_id, lang, source || '.' || (doc_id // 200) AS key, {norm('title')} AS n FROM r WHERE title <> ''), "
     "h AS (SELECT key, arg_min(n, doc_id) AS hn FROM p GROUP BY key), "
     "z AS (SELECT p.*, hn, CASE WHEN length(n) <= length(hn) THEN n ELSE hn END AS s_, CASE WHEN length(n) <= length(hn) THEN hn ELSE n END AS l_ FROM p JOIN h USING (key)), "
-    f"s AS (SELECT *, CASE WHEN n = hn THEN 100.0 WHEN n = '' OR hn = '' THEN 0.0 ELSE 200.0::DOUBLE * {lcs('s_', 'l_')} / (length(n) + length(hn)) END AS title_score FROM z), "
+    f"s AS (SELECT *, CASE WHEN n = hn THEN 100.0 WHEN n = '' OR hn = '' OR 200 * least(length(n), length(hn)) < 58 * (length(n) + length(hn)) THEN 0.0 ELSE 200.0::DOUBLE * {lcs('s_', 'l_')} / (length(n) + length(hn)) END AS title_score FROM z), "
     f"known AS (SELECT key, lang, min(doc_id) AS since FROM s WHERE title_score >= {fixed.CONFLICT_RATIO} GROUP BY ALL) "
-    "SELECT doc_id, title_score FROM s LEFT JOIN known USING (key, lang) "
+    "SELECT doc_id FROM s LEFT JOIN known USING (key, lang) "
     f"WHERE title_score < {fixed.CONFLICT_RATIO} AND NOT coalesce(since < doc_id, false)"
 )
 
@@ -438,7 +438,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "attempts_best": (
             "WITH a AS (SELECT *, list_position(['click', 'view', 'purchase'], event_type) AS p FROM events), b AS (SELECT *, row_number() OVER (PARTITION BY user_id, p ORDER BY event_id) AS m FROM a WHERE p IS NOT NULL AND p > 0), "
-            "c AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY p, m) AS k FROM b WHERE m <= 3), w AS (SELECT user_id, min(k) AS kw, count(*) AS n FROM c WHERE value > 20 GROUP BY 1), n AS (SELECT user_id, count(*) AS n FROM c GROUP BY 1) "
+            "c AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY p, m) AS k FROM b WHERE m <= 3), w AS (SELECT user_id, min(k) AS kw, count(*) AS n FROM c WHERE value > 60 GROUP BY 1), n AS (SELECT user_id, count(*) AS n FROM c GROUP BY 1) "
             "SELECT n.user_id, c.event_type AS provider, c.event_id::VARCHAR AS model, c.props AS payload, coalesce(w.kw - 1, n.n) AS failed_before FROM n LEFT JOIN w ON w.user_id = n.user_id LEFT JOIN c ON c.user_id = w.user_id AND c.k = w.kw"
         ),
         "json_recovery": "SELECT event_id, CASE WHEN event_id % 4 = 3 THEN -1 ELSE regexp_extract(props, '\"k\": (\\d+)', 1)::BIGINT END AS k FROM events",
@@ -472,7 +472,7 @@ def oracle_sql() -> dict[str, str]:
             "b AS (SELECT *, row_number() OVER (PARTITION BY profile_id, issue_date ORDER BY odd DESC) AS k FROM a), c AS (SELECT profile_id, issue_date, n, CASE WHEN odd = 1 THEN 'new' ELSE 'old' END AS run, row_number() OVER (PARTITION BY profile_id ORDER BY issue_date DESC) AS pos FROM b WHERE k = 1) SELECT * FROM c WHERE pos <= 365"
         ),
         "issue_snapshots": (
-            "WITH a AS (SELECT o_orderpriority AS profile_id, strftime(o_orderdate, '%Y') AS issue_date, o_orderkey, 1::BIGINT AS run FROM orders), b AS (SELECT profile_id, issue_date, o_orderkey, 2::BIGINT AS run FROM a WHERE issue_date >= '2000' AND o_orderkey % 2 = 0), "
+            "WITH a AS (SELECT o_orderpriority AS profile_id, strftime(o_orderdate, '%Y') AS issue_date, o_orderkey, 1::BIGINT AS run FROM orders), b AS (SELECT profile_id, issue_date, o_orderkey, 2::BIGINT AS run FROM a WHERE profile_id < '3' AND o_orderkey % 2 = 0), "
             "c AS (SELECT * FROM b UNION ALL SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.profile_id = a.profile_id AND b.issue_date = a.issue_date)) SELECT c.* FROM c JOIN (SELECT profile_id, max(issue_date) AS issue_date FROM c GROUP BY 1) USING (profile_id, issue_date)"
         ),
         "audit_lines": "SELECT doc_id, source, quality, toxic FROM labels JOIN documents USING (doc_id) WHERE toxic IN (0, 1)",

@@ -332,7 +332,7 @@ def conflict_split(spark, sf):
     papers = _papers(spark, sf).withColumn("doi", shared)
     keyed = cut(identity.with_identity(papers))
     odd = identity.split_conflicts(keyed)
-    return odd.select(F.col("ord").alias("doc_id"), "title_score")
+    return odd.select(F.col("ord").alias("doc_id"))
 
 
 def _page_news(spark, sf) -> DataFrame:
@@ -653,7 +653,7 @@ def attempts_best(spark, sf):
         F.col("props").alias("payload"),
         "value",
     )
-    best = attempts.first_valid(log, F.col("value") > 20, ["click", "view", "purchase"])
+    best = attempts.first_valid(log, F.col("value") > 60, ["click", "view", "purchase"])
     return best.select(F.col("task_id").alias("user_id"), "provider", "model", "payload", "failed_before")
 
 
@@ -769,7 +769,7 @@ def issue_snapshots(spark, sf):
         "o_orderkey",
     )
     sinks.write_issue(orders.withColumn("run", F.lit(1)), path)
-    sinks.write_issue(orders.where((F.col("issue_date") >= "2000") & (F.col("o_orderkey") % 2 == 0)).withColumn("run", F.lit(2)), path)
+    sinks.write_issue(orders.where((F.col("profile_id") < "3") & (F.col("o_orderkey") % 2 == 0)).withColumn("run", F.lit(2)), path)
     latest = sinks.latest_issue(spark, path)
     return latest.select("profile_id", F.col("issue_date").cast("string").alias("issue_date"), "o_orderkey", F.col("run").cast("bigint").alias("run"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +47,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers on every executor."""
+    context = spark.sparkContext
+    if getattr(context, "_litwire_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="spark-litwire-")) / "litwire.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for file in sorted(root.rglob("*.py")):
+            bundle.write(file, Path("litwire") / file.relative_to(root))
+    context.addPyFile(str(archive))
+    context._litwire_shipped = True
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy.
 
