@@ -22,7 +22,7 @@ from litwire.session import cut
 @dataclass
 class Merged:
     """records: one row per item; members: item to input record;
-    values: (id, field, value, pos_ord) for every multi-valued field."""
+    values: (id, head_ord, field, value, pos) for every multi-valued field."""
 
     records: DataFrame
     members: DataFrame
@@ -92,7 +92,7 @@ def merge_papers(papers: DataFrame, clusters: DataFrame) -> Merged:
     groups = clusters.join(ids, "leader").select("group_key", "paper_id")
     sizes = by_group.select("group_key", "n")
     members = lookup_join(papers.select("record_id", "ord", "group_key"), groups.join(sizes, "group_key"), "group_key", "n")
-    values = lists.join(ids, "leader").drop("leader")
+    values = lists.join(ids, "leader").withColumnRenamed("leader", "head_ord")
     return Merged(records, members.select("paper_id", "record_id", "ord"), values)
 
 
@@ -149,6 +149,20 @@ def _paper_values(papers: DataFrame, clusters: DataFrame) -> DataFrame:
     return collapse(by_group.select("leader", "field", "value", place.alias("pos")), "leader")
 
 
+def attach_lists(papers: DataFrame, values: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Lists of a chosen few papers (an issue) as arrays, in order."""
+    wanted = values.where(F.col("field").isin(*fields)).join(papers.select(F.col("ord").alias("head_ord")), "head_ord")
+    lists = wanted.groupBy("head_ord").agg(
+        *[
+            F.transform(
+                F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("pos", "value")))), lambda x: x["value"]
+            ).alias(f)
+            for f in fields
+        ]
+    )
+    return papers.join(lists.withColumnRenamed("head_ord", "ord"), "ord", "left")
+
+
 def dedup_papers(papers: DataFrame, threshold: int = fixed.PAPER_TITLE_RATIO, block: str | None = None) -> Merged:
     """Identity groups, conflict split, title clustering and merge."""
     grouped = cut(with_group(papers, block))
