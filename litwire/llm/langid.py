@@ -32,7 +32,8 @@ def grams(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     c = np.where(letter, codes, 32)[keep].astype(np.uint64)
-    c = np.concatenate(([np.uint64(32)] * (c[0] != 32), c, [np.uint64(32)] * (c[-1] != 32))).astype(np.uint64)
+    blank = np.array([32], np.uint64)
+    c = np.concatenate((blank, c, blank[: int(c[-1] != 32)]))
     pairs = (c[:-1] << np.uint64(21)) | c[1:]
     triples = (pairs[:-1] << np.uint64(21)) | c[2:]
     return np.unique(np.concatenate((c[c != 32], pairs, triples[c[1:-1] != 32])), return_counts=True)
