@@ -35,7 +35,8 @@ WORDS, SHARE = 5, 80
 SKETCH, CHUNK, FAN_IN = 1 << 22, 1 << 14, 16
 FILTER_BITS = 1 << 25
 MEMBERS = 1000
-CACHE = 500_000
+CACHE = 150_000
+SLICE = 500
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -58,8 +59,17 @@ def shingle_set(text: bytes | None, cache: WordHashes, words: int = WORDS) -> np
     width = min(words, len(values))
     total = np.full(len(values) - width + 1, width, np.uint64)
     for i in range(width):
-        total = mixed(total * FACTOR + values[i : len(values) - width + 1 + i])
-    return np.unique(total)
+        total *= FACTOR
+        total += values[i : len(values) - width + 1 + i]
+    total = np.sort(mixed(total))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
+
+
+def sliced(batches, size: int = SLICE):
+    """Batches of at most ``size`` rows, which bounds what a task holds of sets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, size):
+            yield batch.slice(at, size)
 
 
 def need(size: int, share: int) -> int:
@@ -72,10 +82,10 @@ def sketch_counts(docs: DataFrame, text_col: str, words: int = WORDS) -> np.ndar
 
     def count(batches):
         cells, cache = np.zeros(SKETCH, np.uint32), WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingle_set(text, cache, words) for text in as_bytes(batch.column(0))]
-            if sets:
-                cells += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+            met, times = np.unique(np.concatenate(sets) % np.uint64(SKETCH), return_counts=True)
+            cells[met.astype(np.int64)] += times.astype(np.uint32)
         packed = [zlib.compress(cells[i : i + CHUNK].tobytes(), 1) for i in range(0, SKETCH, CHUNK) if cells[i : i + CHUNK].any()]
         chunk = [i // CHUNK for i in range(0, SKETCH, CHUNK) if cells[i : i + CHUNK].any()]
         salt = xxhash.xxh3_64_intdigest(cells.tobytes()) % FAN_IN
@@ -102,14 +112,16 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, sh
 
     def describe(batches):
         cache = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             size, kind, group, prefix = [], [], [], []
             for text in as_bytes(batch.column(1)):
                 own = shingle_set(text, cache, words)
                 size.append(n := len(own))
                 kind.append(xxhash.xxh3_64_intdigest(own.tobytes(), seed=n) - (1 << 63) if n else None)
-                rare = np.lexsort((own, levels.value[(own % np.uint64(SKETCH)).astype(np.int64)]))[: n - need(n, share) + 1]
-                first = np.sort(own[rare]).astype(np.uint64).tobytes() if n else b""
+                # Level first, then 58 bits of the hash: equal ones only add a candidate, which is verified.
+                level = levels.value[(own % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64)
+                order = np.sort((level << np.uint64(58)) | (own >> np.uint64(6)))
+                first = order[: n - need(n, share) + 1].tobytes() if n else b""
                 group.append(xxhash.xxh3_64_intdigest(first, seed=n) - (1 << 63) if n else None)
                 prefix.append(np.frombuffer(first, np.int64))
             arrays = [batch.column(0), pa.array(size, pa.int64()), pa.array(kind, pa.int64()), pa.array(group, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
@@ -144,7 +156,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
 
     def hash_again(batches):
         cache, field = WordHashes(), np.frombuffer(bits.value, np.uint8)
-        for batch in batches:
+        for batch in sliced(batches):
             place = _places(batch.column(0))
             batch = batch.filter(pa.array((field[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1))
             sets = [shingle_set(text, cache, words) for text in as_bytes(batch.column(1))]
