@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litwire.llm import jaccard, langid, licenses, lines, quality, topk
+from litwire.llm import jaccard, langid, licenses, lines, lm, mixing, pii, quality, topk
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_quality_rules(spark, sf):
     return rated.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op2_lm_scoring(spark, sf):
+    return lm.pseudo_likelihood(table(spark, sf, "documents"))
+
+
 def op3_ngram_jaccard(spark, sf):
     found = jaccard.jaccard_components(table(spark, sf, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -28,6 +32,32 @@ def op4_language_id(spark, sf):
     return rows.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_personal_data(spark, sf):
+    found = pii.find_personal_data(table(spark, sf, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.BASE]
+    base = F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.span_text(F.concat("base", "added")).alias("spans"))
+
+
+def label_domains(labels: DataFrame) -> DataFrame:
+    """doc_id, domain of labelled documents: toxic, else good or poor by quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+#: Shares of tokens that the mixture is to have.
+TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
+
+
+def op6_source_mixing(spark, sf):
+    labelled = label_domains(table(spark, sf, "labels"))
+    return mixing.document_rates(table(spark, sf, "documents"), labelled, TARGETS)
+
+
 def op7_exact_topk(spark, sf):
     return topk.top_inner_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -101,8 +131,11 @@ FROM marked GROUP BY doc_id
 def llm_queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_language_id": op4_language_id,
+        "op5_personal_data": op5_personal_data,
+        "op6_source_mixing": op6_source_mixing,
         "op7_exact_topk": op7_exact_topk,
         "op10_license_scan": op10_license_scan,
         "op9_line_dedup": op9_line_dedup,
