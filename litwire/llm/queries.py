@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litwire.llm import jaccard, langid, licenses, lines, lm, mixing, pii, quality, topk
+from litwire.llm import jaccard, langid, licenses, lines, lm, mixing, pieces, pii, quality, topk
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -62,6 +62,18 @@ def op7_exact_topk(spark, sf):
     return topk.top_inner_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+#: A vocabulary file of a public tokenizer; never part of this repository.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op8_sentencepiece(spark, sf, model: str = PIECE_MODEL):
+    coded = pieces.encode(table(spark, sf, "documents").select("doc_id", "text"), model)
+    rows = pieces.decode(coded, model)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    digest = F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), " "), 256)
+    return rows.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), same.alias("round_trip"))
+
+
 def op10_license_scan(spark, sf):
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
@@ -137,6 +149,7 @@ def llm_queries() -> dict:
         "op5_personal_data": op5_personal_data,
         "op6_source_mixing": op6_source_mixing,
         "op7_exact_topk": op7_exact_topk,
+        "op8_sentencepiece": op8_sentencepiece,
         "op10_license_scan": op10_license_scan,
         "op9_line_dedup": op9_line_dedup,
     }
