@@ -11,9 +11,11 @@ group; groups that share a prefix shingle are candidates.
 The result asked for is connected classes, so pairs inside a component that is
 already connected are not needed. Each prefix shingle has a leader, its
 smallest group. Members are first verified against the leader that they share
-most with, then against leaders of other components, and in the end pairs of
-groups with a shingle in common that are still in different components are
-compared exactly. Copies of a hot text cost one verification each.
+most with, then against leaders of other components, then for some rounds
+against other members; in the end pairs with a prefix shingle in common that
+are still in different components are compared exactly. Sizes and bit
+signatures rule out pairs before their sets are fetched, and never rule out a
+link. Copies of a hot text cost a few verifications each, not all pairs.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ WORDS, SHARE = 5, 80
 SKETCH, CHUNK, FAN_IN = 1 << 22, 1 << 14, 16
 FILTER_BITS = 1 << 25
 MEMBERS = 1000
+SIGNATURE, ROUNDS = 8, 4
 CACHE = 150_000
 SLICE = 500
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -72,6 +75,13 @@ def sliced(batches, size: int = SLICE):
             yield batch.slice(at, size)
 
 
+def signature(own: np.ndarray) -> np.ndarray:
+    """A bit for each shingle in SIGNATURE words of 64: two sets differ in as many shingles as bits, at least."""
+    bits = np.zeros(64 * SIGNATURE, np.uint8)
+    bits[(own % np.uint64(64 * SIGNATURE)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def need(size: int, share: int) -> int:
     """Shingles that a set of this size must have in common with any partner, at least."""
     return -(-size * share // 100)
@@ -161,12 +171,13 @@ def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
             batch = batch.filter(pa.array((field[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1))
             sets = [shingle_set(text, cache, words) for text in as_bytes(batch.column(1))]
             kind = [xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "kind", "own"])
+            signs = pa.array([signature(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), signs], names=["rep", "kind", "own", "sign"])
 
-    made = docs.select(F.col(id_col).cast("long").alias("rep"), text_col).mapInArrow(hash_again, "rep long, kind long, own binary")
+    made = docs.select(F.col(id_col).cast("long").alias("rep"), text_col).mapInArrow(hash_again, "rep long, kind long, own binary, sign array<long>")
     # Rows with one id and text twice are kept once.
     rows = made.join(wanted, ["rep", "kind"]).dropDuplicates(["kind"])
-    return cut(rows.select("kind", "grp", (F.octet_length("own") / 8).cast("long").alias("n"), "own"))
+    return cut(rows.select("kind", "grp", (F.octet_length("own") / 8).cast("long").alias("n"), "own", "sign"))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
@@ -196,6 +207,13 @@ def _near(a, b, share: int):
     return (F.lit(100) * F.least(a, b)) >= (F.lit(share) * F.greatest(a, b))
 
 
+def _may_link(a: str, b: str, share: int):
+    """Whether sizes and signatures of the structs ``a`` and ``b`` (n, sign) leave a link possible; never false for one."""
+    apart = sum((F.bit_count(F.get(f"{a}.sign", F.lit(i)).bitwiseXOR(F.get(f"{b}.sign", F.lit(i)))) for i in range(SIGNATURE)), F.lit(0))
+    sizes = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return _near(F.col(f"{a}.n"), F.col(f"{b}.n"), share) & (apart * (100 + share) <= sizes * (100 - share))
+
+
 def _expand(pairs: DataFrame, members: DataFrame, heads: DataFrame) -> DataFrame:
     """Class pairs (head of the leading group, member) of group pairs (lead, grp)."""
     led = pairs.select("grp", "lead").join(heads.withColumnsRenamed({"grp": "lead", "head": "a"}), "lead")
@@ -231,14 +249,31 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
     comps = connect(verify(rest, sets, share), comps)
 
     # What may still link: pairs of members with a prefix shingle in common, in different components.
-    rows = relabel(posts.join(members.select("grp", "kind"), "grp").join(heads.withColumnsRenamed({"grp": "lead", "head": "first"}), "lead"), comps, "kind")
-    main = relabel(heads.select(F.col("head").alias("first")).distinct(), comps, "first")
-    rows = rows.join(main.withColumnRenamed("first_comp", "main"), "first").where("kind <> first")
-    apart = rows.groupBy("t").agg(F.min("kind_comp").alias("lo"), F.max("kind_comp").alias("hi")).where("lo < hi").select("t")
-    rows = cut(rows.join(apart, "t").select("t", "kind", "n", F.col("kind_comp").alias("comp"), "main"))
-    minor = rows.where("comp <> main").select("t", F.col("kind").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    other = rows.select("t", F.col("kind").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), "main")
-    found = minor.join(other, "t").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))) & _near(F.col("na"), F.col("nb"), share))
+    known = sets.select("kind", F.struct("n", "sign").alias("x"))
+    rows = posts.select("t", "grp").distinct().join(members.select("grp", "kind"), "grp").select("t", "kind")
+
+    def in_question() -> DataFrame:
+        """Members (t, kind, comp, x) of shingles whose members are in several components."""
+        placed = relabel(rows, comps, "kind").select("t", "kind", F.col("kind_comp").alias("comp"))
+        apart = placed.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("t")
+        return cut(placed.join(apart, "t").join(known, "kind"))
+
+    # First, members meet one of theirs, another in each round: that joins what is well linked without all pairs.
+    for turn in range(ROUNDS):
+        live = in_question()
+        if live.isEmpty():
+            break
+        lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("kind", F.lit(turn)).alias("h"), "kind", "comp")).alias("l")).select("t", F.col("l.kind").alias("a"), F.col("l.comp").alias("ca"))
+        lead = lead.join(known.select(F.col("kind").alias("a"), F.col("x").alias("y")), "a")
+        met = live.join(lead, "t").where((F.col("comp") != F.col("ca")) & _may_link("x", "y", share)).select("a", F.col("kind").alias("b"))
+        comps = connect(verify(met.distinct(), sets, share), comps)
+    live = in_question()
+    sizes_in = live.groupBy("t", "comp").agg(F.count("*").alias("m"))
+    main = sizes_in.groupBy("t").agg(F.max(F.struct("m", "comp")).alias("l")).select("t", F.col("l.comp").alias("main"))
+    live = live.join(main, "t")
+    minor = live.where("comp <> main").select("t", F.col("kind").alias("a"), F.col("comp").alias("ca"), F.col("x").alias("xa"))
+    other = live.select("t", F.col("kind").alias("b"), F.col("comp").alias("cb"), F.col("x").alias("xb"), "main")
+    found = minor.join(other, "t").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))) & _may_link("xa", "xb", share))
     # The same within a group: members that its head did not link, against all other members.
     inside = relabel(relabel(own, comps, "a"), comps, "b")
     loose = inside.where("a_comp <> b_comp").select("a", F.col("b").alias("one"), F.col("b_comp").alias("one_comp"))
