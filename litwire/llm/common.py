@@ -22,10 +22,20 @@ def fold_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-def with_results(df: DataFrame, results: dict[str, Column], inner: list[str]) -> DataFrame:
-    """Columns of ``df`` but ``inner`` ones, then the results; these replace columns of the same name."""
-    kept = [c for c in df.columns if c not in inner and c not in results]
-    return df.select(*[F.col(f"`{c}`") for c in kept], *[column.alias(name) for name, column in results.items()])
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, so that no name of theirs meets an inner one."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def with_results(row: str, columns: list[str], results: dict[str, Column]) -> list[Column]:
+    """The packed ``columns`` in ``row``, then the results; these replace columns of the same name."""
+    kept = [F.col(row).getField(c).alias(c) for c in columns if c not in results]
+    return kept + [column.alias(name) for name, column in results.items()]
+
+
+def free_name(df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    return "_" + max([*df.columns, "in"], key=len)
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
@@ -33,23 +43,23 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def per_row(
-    df: DataFrame, columns: list[str], function: Callable[[list], tuple], names: list[tuple[str, str]], keep: list[str]
-) -> DataFrame:
-    """``function`` over text columns (as bytes) of each row; ``keep`` columns pass through.
+KINDS = {"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "int": pa.int32()}
+
+
+def per_row(df: DataFrame, column: str, function: Callable[[list], tuple], names: list[tuple[str, str]], keep: list[str]) -> DataFrame:
+    """``keep`` columns as they are, and what ``function`` makes of a text column's rows (as bytes).
 
-    ``function`` gets one list per batch for each of ``columns`` and returns
-    one array or list per entry of ``names``.
+    ``function`` gets a batch of them and returns one list per entry of
+    ``names`` (name, type).
     """
-    taken = df.select(*keep, *columns)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields] + [f"`{n}` {t}" for n, t in names])
-    kinds = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "int": pa.int32()}
+    taken = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias(free_name(df)))
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{n}` {t}" for n, t in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = function(*[as_bytes(batch.column(c)) for c in columns])
-            arrays = [batch.column(c) for c in keep]
-            arrays += [pa.array(values, type=kinds[kind]) for values, (_, kind) in zip(made, names, strict=True)]
+            made = function(as_bytes(batch.column(len(keep))))
+            arrays = [batch.column(i) for i in range(len(keep))]
+            arrays += [pa.array(values, type=KINDS[kind]) for values, (_, kind) in zip(made, names, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *[n for n, _ in names]])
 
     return taken.mapInArrow(run, schema)

@@ -314,6 +314,6 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     found = jaccard_components(docs, id_col, text_col, words, share)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    rows = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
     kept = rows.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col, text_col])
     return kept.unionByName(rows.where(F.col(f"`{id_col}`").isNull()))

@@ -115,8 +115,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
         return langs, scores
 
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    held = docs.select(*[F.col(f"`{c}`") for c in keep])
-    return per_row(held.withColumn("_text", F.col(f"`{text_col}`")), ["_text"], judge, [("lang_pred", "string"), ("score", "double")], keep)
+    return per_row(docs, text_col, judge, [("lang_pred", "string"), ("score", "double")], keep)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

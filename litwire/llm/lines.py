@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from litwire.llm.common import LAST, WHITE, fold_ascii, mixed, with_results
+from litwire.llm.common import LAST, WHITE, fold_ascii, mixed, packed, with_results
 from litwire.session import cut
 
 MIN_CHARS = 10
@@ -171,9 +171,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     an empty table.
     """
     gone = dropped_lines(line_hashes(docs, id_col, text_col, min_chars))
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
-    rows = docs.withColumns({"_o": order, "_t": F.xxhash64(f"`{text_col}`")}).join(gone, ["_o", "_t"], "left")
+    rows = docs.select(packed(docs).alias("_row"), order.alias("_o"), F.xxhash64(f"`{text_col}`").alias("_t"))
+    rows = rows.join(gone, ["_o", "_t"], "left")
+    text = F.coalesce(F.col("_row").getField(text_col), F.lit(""))
     lines = F.split(text, "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
@@ -182,4 +183,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "n_lines": (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1).cast("long"),
         "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
     }
-    return with_results(rows, results, ["_o", "_t", "_gone"])
+    return rows.select(*with_results("_row", docs.columns, results))

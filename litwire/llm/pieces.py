@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litwire.llm.common import as_bytes
+from litwire.llm.common import as_bytes, free_name
 from litwire.session import cut
 
 BLANK = "▁"
@@ -371,7 +371,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
                 yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], ids], names=[*keep, "piece_ids"])
 
     columns = [F.col(f"`{c}`") for c in keep]
-    return docs.select(*columns, F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*columns, F.col(f"`{text_col}`").alias(free_name(docs))).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
@@ -405,4 +405,4 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     columns = [F.col(f"`{c}`") for c in keep]
-    return rows.select(*columns, F.col("piece_ids").cast("array<int>").alias("_ids")).mapInArrow(run, schema)
+    return rows.select(*columns, F.col("piece_ids").cast("array<int>").alias(free_name(rows))).mapInArrow(run, schema)

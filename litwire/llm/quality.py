@@ -88,7 +88,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return (*columns[: len(COUNTS)], *bins)
 
     taken = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
-    return per_row(taken, ["_text"], run, [(c, "long") for c in COUNTS] + [(f"s_{s}", "int") for s in SIGNALS], ["doc_id"])
+    return per_row(taken, "_text", run, [(c, "long") for c in COUNTS] + [(f"s_{s}", "int") for s in SIGNALS], ["doc_id"])
 
 
 def base_failed() -> Column:
