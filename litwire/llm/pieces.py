@@ -87,6 +87,8 @@ class Model:
                 self.byte_ids[int(piece[3:5], 16)] = i
             elif kind == UNKNOWN:
                 self.unknown = i
+        self.rank = {piece: self.scores[i] for piece, i in self.ids.items()}
+        self.parts: dict[str, list[int]] = {}
         self.longest = max(map(len, self.ids), default=1)
         self.neighbours = {pair for piece in self.ids for pair in zip(piece, piece[1:], strict=False)}
         self.floor = min((self.scores[i] for i in self.ids.values()), default=0.0) - PENALTY
@@ -128,7 +130,14 @@ class Model:
         for i in range(1, len(unit) + 1):
             if i == len(unit) or (unit[i - 1], unit[i]) not in self.neighbours:
                 part = unit[start:i]
-                out += self.merge(part) if self.algorithm == BPE else self.viterbi(part)
+                ids = self.parts.get(part)
+                if ids is None:
+                    ids = self.merge(part) if self.algorithm == BPE else self.viterbi(part)
+                    if len(self.parts) >= HELD:
+                        self.parts.clear()
+                    if len(part) <= 4 * UNIT_CHARS:
+                        self.parts[part] = ids
+                out += ids
                 start = i
         return out
 
@@ -163,16 +172,19 @@ class Model:
         return [i for s in symbols for i in ([self.ids[s]] if s in self.ids else self.fallback(s))]
 
     def _merge_short(self, part: str) -> list[str]:
-        symbols = list(part)
-        while len(symbols) > 1:
-            top, where = None, -1
-            for i in range(len(symbols) - 1):
-                piece = self.ids.get(symbols[i] + symbols[i + 1])
-                if piece is not None and (top is None or self.scores[piece] > top):
-                    top, where = self.scores[piece], i
-            if where < 0:
+        symbols, rank, never = list(part), self.rank, -np.inf
+        worth = [rank.get(a + b, never) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while worth:
+            top = max(worth)
+            if top == never:
                 break
-            symbols[where : where + 2] = [symbols[where] + symbols[where + 1]]
+            i = worth.index(top)
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del worth[i]
+            if i:
+                worth[i - 1] = rank.get(symbols[i - 1] + symbols[i], never)
+            if i < len(worth):
+                worth[i] = rank.get(symbols[i] + symbols[i + 1], never)
         return symbols
 
     def _merge_long(self, part: str) -> list[str]:
@@ -395,11 +407,11 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
         for batch in batches:
             lists = batch.column(len(keep))
             flat, ends = lists.values, np.asarray(lists.offsets)
+            if len(flat) and (flat.null_count or np.asarray(flat).min() < 0):
+                raise IndexError("a piece id that is missing or below 0")
             texts = []
             for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
                 ids = flat.slice(a, b - a).to_numpy(zero_copy_only=False).tolist() if lists[i].is_valid else []
-                if ids and min(ids) < 0:
-                    raise IndexError("a piece id below 0")
                 raw = b"".join(map(pieces.__getitem__, ids))
                 texts.append((raw[1:] if prefix and raw[:1] == b" " else raw).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(texts, pa.string())], names=[*keep, "decoded"])
