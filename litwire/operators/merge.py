@@ -127,7 +127,9 @@ def _paper_values(papers: DataFrame, clusters: DataFrame) -> DataFrame:
     is_id = F.col("field").startswith("id:")
 
     def collapse(df: DataFrame, group: str) -> DataFrame:
-        same = F.when(is_id, F.lit("")).otherwise(fold_case(F.col("value")))
+        # Paths of addresses depend on case.
+        address = F.col("field").isin("full_text_urls", "full_text_links")
+        same = F.when(is_id, F.lit("")).when(address, F.col("value")).otherwise(fold_case(F.col("value")))
         return (
             df.groupBy(group, "field", same.alias("_k"))
             .agg(

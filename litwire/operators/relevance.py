@@ -53,7 +53,7 @@ def _native(records: DataFrame, rows: list[Row], title: Column, body: Column) ->
         for p, terms in sorted(by_profile.items())
     ]
     lowered = records.withColumns({"_title": F.lower(title), "_body": F.lower(body)})
-    return lowered.select(*records.columns, F.explode(F.array(*scored)).alias("_s")).select(*records.columns, "_s.*")
+    return lowered.select(*records.columns, F.explode(F.filter(F.array(*scored), lambda s: s["title_hits"] + s["body_hits"] > 0)).alias("_s")).select(*records.columns, "_s.*")
 
 
 def _matcher(rows: list[tuple[str, str]], key: str):
@@ -114,11 +114,7 @@ def relevance(
     key: str = "record_id",
     native_terms: int = NATIVE_TERMS,
 ) -> DataFrame:
-    """One row per (record, profile) with hits, score and penalty flag.
-
-    Records without any hit may be left out on the large-dictionary path; no
-    threshold would keep them.
-    """
+    """One row per (record, profile) that has a hit, with hits, score and penalty flag; alike at every dictionary size."""
     terms = scoring_terms(profile_terms)
     total = terms.count()
     title_text = squeeze(F.coalesce(F.col(title), F.lit("")))

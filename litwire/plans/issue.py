@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litwire import fixed
 from litwire.functions.dates import date_window, filter_news_window, filter_window
+from litwire.functions.text import normalize_title
 from litwire.operators import attempts, content, evidence, link, merge, metrics, ranking, relevance, review
 from litwire.session import cut
 
@@ -57,15 +58,19 @@ def _reviewed(items: DataFrame, title: str, verdicts: DataFrame | None) -> tuple
     return review.apply_verdicts(blocks, groups, verdicts).drop("block"), groups
 
 
-def _answered(tasks: DataFrame, key: str, answers: DataFrame | None, fields: list[str], fallback) -> DataFrame:
+def _filled(fields: list[str]) -> Column:
+    return attempts.answer_valid([F.col("payload")[f] for f in fields])
+
+
+def _answered(tasks: DataFrame, key: str, answers: DataFrame | None, valid: Column, fallback) -> DataFrame:
     """Analysis map and status from logged answers, else the fallback.
 
-    ``answers``: (key, provider, model, model_rank, payload map).
+    ``answers``: (key, provider, model, model_rank, payload map). Answers to
+    the other kind of record have no key here and are left out.
     """
     if answers is None:
         return tasks.withColumns({"analysis": fallback, "analysis_status": F.lit("fallback_source_extract")})
-    valid = attempts.answer_valid([F.col("payload")[f] for f in fields])
-    best = attempts.first_valid(answers, valid, PROVIDERS, task=key)
+    best = attempts.first_valid(answers.where(F.col(key).isNotNull()), valid, PROVIDERS, task=key)
     out = attempts.resolve(tasks, best, fallback, task=key)
     return out.withColumnsRenamed({"payload": "analysis", "status": "analysis_status"}).drop("provider", "model")
 
@@ -88,7 +93,7 @@ def build_issue(
     dated = filter_window(papers, start, end, limits.strict_window).drop("in_window")
     raw_papers = _scored(dated, profile_terms, "abstract", fixed.PAPER_MIN_SCORE)
     merged = merge.dedup_papers(raw_papers.drop("arrival"), block="profile_id")
-    named = merged.records.withColumn("norm_title", F.lower("title"))
+    named = merged.records.withColumn("norm_title", normalize_title(F.col("title")))
     kept, groups = _reviewed(named, "norm_title", verdicts)
     top = cut(ranking.top_papers(kept.drop("norm_title"), limits.papers))
 
@@ -124,7 +129,7 @@ def build_issue(
             {
                 "paper_type": kind,
                 "evidence": evidence.paper_evidence(F.col("abstract"), F.col("full_text")),
-                "evidence_scope": evidence.evidence_scope(F.col("full_text"), F.coalesce("abstract", F.lit(""))),
+                "evidence_scope": evidence.evidence_scope(abstract=F.coalesce("abstract", F.lit("")), full_text=F.coalesce("full_text", F.lit(""))),
             }
         )
     )
@@ -135,8 +140,10 @@ def build_issue(
     paper_fallback = (
         F.when(F.size("evidence") == 0, nothing).when(F.col("paper_type") == "review", reviews).otherwise(research)
     )
-    either = fixed.RESEARCH_FIELDS + [f for f in fixed.REVIEW_FIELDS if f not in fixed.RESEARCH_FIELDS]
-    done = _answered(full, "paper_id", answers, either, paper_fallback)
+    # Three of the five fields of the paper's own kind have to be filled.
+    own_kind = F.when(F.col("paper_type") == "review", _filled(fixed.REVIEW_FIELDS)).otherwise(_filled(fixed.RESEARCH_FIELDS))
+    typed = None if answers is None else answers.join(full.select("paper_id", "paper_type"), "paper_id")
+    done = _answered(full, "paper_id", typed, own_kind, paper_fallback)
     no_text = F.when(F.size("evidence") == 0, "not_run_no_abstract_or_fulltext")
     done = done.withColumn("analysis_status", F.coalesce(no_text, "analysis_status"))
 
@@ -144,7 +151,7 @@ def build_issue(
     told = evidence.as_map(evidence.fallback_news(found, F.col("published_date")), fixed.NEWS_FIELDS)
     untold = evidence.as_map(evidence.no_content_news(F.col("published_date")), fixed.NEWS_FIELDS)
     empty = F.size("evidence") == 0
-    reported = _answered(read, "news_id", answers, fixed.NEWS_FIELDS, F.when(empty, untold).otherwise(told))
+    reported = _answered(read, "news_id", answers, _filled(fixed.NEWS_FIELDS), F.when(empty, untold).otherwise(told))
     reported = reported.withColumn("analysis_status", F.when(empty, "not_run_no_content").otherwise(F.col("analysis_status")))
 
     paper_tasks = full.where(F.size("evidence") > 0).select(

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from litwire.schemas import conform
 
 
-def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One response per file (or per line); columns after ``schema``."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+def read_json(spark: SparkSession, path: str, schema: str, per_file: bool = False) -> DataFrame:
+    """One response per line, or ``per_file``; columns after ``schema``. Lines let Spark split a file between tasks."""
+    if per_file:
+        return from_json_payload(spark.read.text(path, wholetext=True), "value", schema)
+    return spark.read.schema(schema).json(path)
 
 
 def read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:

@@ -92,9 +92,9 @@ def read_rss(spark: SparkSession, path: str, source: str, language: str) -> Data
     return rss_rows(read_xml(spark, path, "item", RSS), source, language)
 
 
-def read_gdelt(spark: SparkSession, path: str) -> DataFrame:
-    return gdelt_rows(read_json(spark, path, GDELT))
+def read_gdelt(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
+    return gdelt_rows(read_json(spark, path, GDELT, per_file))
 
 
-def read_reliefweb(spark: SparkSession, path: str) -> DataFrame:
-    return reliefweb_rows(read_json(spark, path, RELIEFWEB))
+def read_reliefweb(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
+    return reliefweb_rows(read_json(spark, path, RELIEFWEB, per_file))

@@ -290,21 +290,21 @@ def read_pubmed(spark: SparkSession, path: str) -> DataFrame:
     return pubmed_rows(read_xml(spark, path, "PubmedArticle", PUBMED))
 
 
-def read_europe_pmc(spark: SparkSession, path: str) -> DataFrame:
-    return europe_pmc_rows(read_json(spark, path, EUROPE_PMC))
+def read_europe_pmc(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
+    return europe_pmc_rows(read_json(spark, path, EUROPE_PMC, per_file))
 
 
-def read_crossref(spark: SparkSession, path: str) -> DataFrame:
-    return crossref_rows(read_json(spark, path, CROSSREF))
+def read_crossref(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
+    return crossref_rows(read_json(spark, path, CROSSREF, per_file))
 
 
-def read_semantic_scholar(spark: SparkSession, path: str) -> DataFrame:
-    return semantic_scholar_rows(read_json(spark, path, SEMANTIC_SCHOLAR))
+def read_semantic_scholar(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
+    return semantic_scholar_rows(read_json(spark, path, SEMANTIC_SCHOLAR, per_file))
 
 
-def read_openalex(spark: SparkSession, path: str) -> DataFrame:
-    return openalex_rows(read_json(spark, path, OPENALEX))
+def read_openalex(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
+    return openalex_rows(read_json(spark, path, OPENALEX, per_file))
 
 
-def read_preprints(spark: SparkSession, path: str, server: str | None = None) -> DataFrame:
-    return preprint_rows(read_json(spark, path, PREPRINTS), server)
+def read_preprints(spark: SparkSession, path: str, server: str | None = None, per_file: bool = False) -> DataFrame:
+    return preprint_rows(read_json(spark, path, PREPRINTS, per_file), server)
