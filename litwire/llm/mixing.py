@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from litwire.llm.common import WHITE, fold_ascii, packed
+from litwire.llm.common import LAST, WHITE, fold_ascii, packed
 from litwire.session import cut
 
 #: Labelled rows that the classifier is fitted on, at most (chosen by a hash of the id).
@@ -224,8 +224,11 @@ def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
 
 def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, each row as often as ``copies`` of ``document_rates`` says."""
-    mixture, _ = fit(docs, labelled, targets, id_col, text_col)
-    held = docs.select(packed(docs).alias("_row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("_text"))
-    rows = mixture.rated(features(_keyed(held, "doc_id", "_text"), mixture.model.lexicons, "_text"))
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return rows.where("_copies > 0").select("_row", times.alias("_time")).select("_row.*")
+    mixture, table = fit(docs, labelled, targets, id_col, text_col)
+    # Written first: a filter on copies would else be pushed down to the texts, features and all.
+    copies = cut(mixture.rated(table).select(F.coalesce("_id", F.lit(LAST)).alias("_id"), "_t", "_copies"))
+    copies = copies.where("_copies > 0").dropDuplicates(["_id", "_t"])
+    order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
+    held = docs.select(packed(docs).alias("_row"), order.alias("_id"), F.xxhash64(f"`{text_col}`").alias("_t"))
+    rows = held.join(copies, ["_id", "_t"])
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_time")).select("_row.*")
