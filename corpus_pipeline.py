@@ -45,7 +45,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as piece ids, with the number of pieces and whether they decode to the text."""
     ship_package(spark)
-    rows = pieces.decode(pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    rows = pieces.encode_and_decode(docs, PIECE_MODEL)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return rows.select("doc_id", "lang", "source", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
 

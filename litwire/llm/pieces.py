@@ -35,7 +35,8 @@ UNIGRAM, BPE = 1, 2
 #: Units encoded in Spark, at most, and their longest; the others are encoded where they stand.
 FREQUENT_UNITS, UNIT_CHARS = 50_000, 24
 MOST_PIECES = 2_000_000
-HELD = 300_000
+#: Units that a task counts before it hands them on; units, and parts of units, whose ids it holds; rows that it works on at a time.
+COUNTED, HELD, SLICE = 300_000, 100_000, 500
 PENALTY = 10.0
 SHORT = 48
 
@@ -319,7 +320,7 @@ def frequent_units(docs: DataFrame, text_col: str, prefix: bool, most: int = FRE
             for text in as_bytes(batch.column(0)):
                 for units in lines_of_units((text or b"").decode("utf-8", "replace"), prefix):
                     held.update(units)
-                if len(held) > HELD:
+                if len(held) > COUNTED:
                     yield rows(held)
                     held.clear()
         yield rows(held)
@@ -354,36 +355,92 @@ class UnitIds(dict):
         return ids
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``piece_ids`` (array<int>; replaces a column of that name): the ids of the whole text.
+def _with_columns(df: DataFrame, source: str, made: dict[str, str], start) -> DataFrame:
+    """``df`` with columns (name: type) made in tasks: ``start()`` gives a function from a slice of ``source`` to their arrays."""
+    keep = [c for c in df.columns if c not in made]
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"{name} {kind}" for name, kind in made.items()])
 
-    Missing and empty texts have no ids. Repeated rows get equal ids. Other
-    columns stay; an empty table gives an empty table.
-    """
-    model = Model.load(model_path)
+    def run(batches):
+        make = start()
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                arrays = [batch.column(i) for i in range(len(keep))] + make(batch.column(len(keep)))
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *made])
+
+    columns = [F.col(f"`{c}`") for c in keep]
+    return df.select(*columns, F.col(f"`{source}`").alias(free_name(df))).mapInArrow(run, schema)
+
+
+def _encoder(docs: DataFrame, model: Model, text_col: str):
+    """For tasks: starts a function from texts to arrays of ids."""
     prefix = model.dummy_prefix
     # At most FREQUENT_UNITS rows.
     rows = encode_units(frequent_units(docs, text_col, prefix), model).toLocalIterator()
     shared = docs.sparkSession.sparkContext.broadcast((model, {r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in rows}))
-    keep = [c for c in docs.columns if c != "piece_ids"]
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + ["piece_ids array<int>"])
 
-    def run(batches):
+    def start():
         known = UnitIds(*shared.value)
         newline = np.array(known.model.encode_unit("\n"), "<i4").tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                parts = []
-                for text in as_bytes(batch.column(len(keep))):
-                    lines = lines_of_units((text or b"").decode("utf-8", "replace"), prefix)
-                    parts.append(newline.join([b"".join(map(known.__getitem__, units)) for units in lines]))
-                ends = np.cumsum([0, *[len(p) // 4 for p in parts]]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], ids], names=[*keep, "piece_ids"])
 
-    columns = [F.col(f"`{c}`") for c in keep]
-    return docs.select(*columns, F.col(f"`{text_col}`").alias(free_name(docs))).mapInArrow(run, schema)
+        def encoded(texts: pa.Array) -> pa.Array:
+            parts = []
+            for text in as_bytes(texts):
+                lines = lines_of_units((text or b"").decode("utf-8", "replace"), prefix)
+                parts.append(newline.join([b"".join(map(known.__getitem__, units)) for units in lines]))
+            ends = np.cumsum([0, *[len(p) // 4 for p in parts]]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+
+        return encoded
+
+    return start
+
+
+def _decoder(spark: SparkSession, model: Model):
+    """For tasks: starts a function from arrays of ids to texts."""
+    codes = {i: b for b, i in model.byte_ids.items()}
+    plain = [bytes([codes[i]]) if i in codes else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else p.replace(BLANK, " ").encode() for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True))]
+    shared = spark.sparkContext.broadcast((plain, model.dummy_prefix))
+
+    def start():
+        plain, prefix = shared.value
+        pieces = pa.array(plain, pa.large_binary())
+
+        def decoded(lists: pa.Array) -> pa.Array:
+            flat = lists.flatten()
+            if flat.null_count:
+                raise IndexError("a piece id that is missing")
+            # The pieces of all texts of the slice stand one after the other.
+            joined = pieces.take(flat)
+            _, bounds, data = joined.buffers()
+            bounds = np.frombuffer(bounds, np.int64, len(joined) + 1) if len(joined) else np.zeros(1, np.int64)
+            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = bounds[np.cumsum(np.concatenate(([0], lengths)).astype(np.int64))].tolist()
+            raw, texts = memoryview(data or b""), []
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                if prefix and a < b and raw[a] == ord(" "):
+                    a += 1
+                texts.append(str(raw[a:b], "utf-8", "replace"))
+            return pa.array(texts, pa.string())
+
+        return decoded
+
+    return start
+
+
+def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``piece_ids`` (array<int>; replaces a column of that name): the ids of the whole text.
+
+    Missing and empty texts have no ids. Repeated rows get equal ids. Other
+    columns stay; an empty table gives an empty table.
+    """
+    encoder = _encoder(docs, Model.load(model_path), text_col)
+
+    def start():
+        encoded = encoder()
+        return lambda texts: [encoded(texts)]
+
+    return _with_columns(docs, text_col, {"piece_ids": "array<int>"}, start)
 
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
@@ -395,26 +452,28 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
     character, ids that are not in the vocabulary raise an error, and a
     missing array has the empty text.
     """
+    decoder = _decoder(rows.sparkSession, Model.load(model_path))
+
+    def start():
+        decoded = decoder()
+        return lambda lists: [decoded(lists)]
+
+    typed = rows.withColumn("piece_ids", F.col("piece_ids").cast("array<int>"))
+    return _with_columns(typed, "piece_ids", {"decoded": "string"}, start)
+
+
+def encode_and_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``piece_ids`` and ``decoded`` as ``decode(encode(docs))`` has them, in one pass over the texts."""
     model = Model.load(model_path)
-    codes = {i: b for b, i in model.byte_ids.items()}
-    plain = [bytes([codes[i]]) if i in codes else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else p.replace(BLANK, " ").encode() for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True))]
-    shared = rows.sparkSession.sparkContext.broadcast((plain, model.dummy_prefix))
-    keep = [c for c in rows.columns if c != "decoded"]
-    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep] + ["decoded string"])
+    encoder, decoder = _encoder(docs, model, text_col), _decoder(docs.sparkSession, model)
 
-    def run(batches):
-        pieces, prefix = shared.value
-        for batch in batches:
-            lists = batch.column(len(keep))
-            flat, ends = lists.values, np.asarray(lists.offsets)
-            if len(flat) and (flat.null_count or np.asarray(flat).min() < 0):
-                raise IndexError("a piece id that is missing or below 0")
-            texts = []
-            for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                ids = flat.slice(a, b - a).to_numpy(zero_copy_only=False).tolist() if lists[i].is_valid else []
-                raw = b"".join(map(pieces.__getitem__, ids))
-                texts.append((raw[1:] if prefix and raw[:1] == b" " else raw).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(texts, pa.string())], names=[*keep, "decoded"])
+    def start():
+        encoded, decoded = encoder(), decoder()
 
-    columns = [F.col(f"`{c}`") for c in keep]
-    return rows.select(*columns, F.col("piece_ids").cast("array<int>").alias(free_name(rows))).mapInArrow(run, schema)
+        def both(texts: pa.Array) -> list[pa.Array]:
+            ids = encoded(texts)
+            return [ids, decoded(ids)]
+
+        return both
+
+    return _with_columns(docs, text_col, {"piece_ids": "array<int>", "decoded": "string"}, start)

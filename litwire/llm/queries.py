@@ -67,8 +67,7 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op8_sentencepiece(spark, sf, model: str = PIECE_MODEL):
-    coded = pieces.encode(table(spark, sf, "documents").select("doc_id", "text"), model)
-    rows = pieces.decode(coded, model)
+    rows = pieces.encode_and_decode(table(spark, sf, "documents").select("doc_id", "text"), model)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     digest = F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), " "), 256)
     return rows.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), same.alias("round_trip"))

@@ -376,6 +376,8 @@ def test_pieces_equal_the_library(spark):
         assert list(got[i]["piece_ids"]) == library.encode(text)
         assert got[i]["decoded"] == text.replace("▁", " ")
     assert list(got[len(texts)]["piece_ids"]) == [] and got[len(texts)]["decoded"] == ""
+    once = pieces.encode_and_decode(documents(spark, [*texts, None]), PIECE_MODEL).collect()
+    assert {r["doc_id"]: r for r in once} == got
 
 
 def test_folds_equal_the_task_recurrences(spark):
