@@ -214,6 +214,79 @@ class Model:
         return [s for s in symbols if s is not None]
 
 
+class Merges:
+    """Merges of many short units at once: in each round every unit makes its best merge, the leftmost of equal ones."""
+
+    def __init__(self, model: Model):
+        symbols = {c for piece in model.ids for c in piece} - set(model.ids)
+        number = dict(model.ids)
+        number.update({c: len(model.pieces) + i for i, c in enumerate(sorted(symbols))})
+        self.base = len(model.pieces) + len(symbols)
+        self.pieces = len(model.pieces)
+        self.of_char = np.full(0x110000, -1, np.int64)
+        for piece, i in number.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = i
+        pairs = {}
+        for piece, i in model.ids.items():
+            for at in range(1, len(piece)):
+                a, b = number.get(piece[:at]), number.get(piece[at:])
+                if a is not None and b is not None:
+                    pairs[a * self.base + b] = i
+        # The last entry stands for pairs that are no piece.
+        self.keys = np.array([*sorted(pairs), 1 << 62], np.int64)
+        self.merged = np.array([*[pairs[k] for k in sorted(pairs)], 0], np.int64)
+        self.worth = np.array([*[model.scores[i] for i in self.merged[:-1]], -np.inf])
+        self.worth[-1] = -np.inf
+
+    def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The entry of each pair of symbols."""
+        wanted = left * self.base + right
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, at, len(self.keys) - 1)
+
+    def encode(self, units: list[str]) -> dict[str, bytes]:
+        """Ids (32-bit little-endian) of distinct units; those with characters that are no pieces are left out."""
+        code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbol = self.of_char[code]
+        unit = np.repeat(np.arange(len(units)), [len(u) for u in units])
+        known = np.ones(len(units), bool)
+        known[unit[(symbol < 0) | (symbol >= self.pieces)]] = False
+        symbol, unit = symbol[known[unit]], unit[known[unit]]
+        none = len(self.keys) - 1
+        entry = np.full(len(symbol), none)
+        inner = np.flatnonzero(unit[1:] == unit[:-1])
+        entry[inner] = self.pair(symbol[inner], symbol[inner + 1])
+        done = []
+        while len(symbol):
+            starts = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1])))
+            sizes = np.diff(np.append(starts, len(unit)))
+            worth = self.worth[entry]
+            top = np.maximum.reduceat(worth, starts)
+            open_ = np.repeat(top > -np.inf, sizes)
+            done.append((unit[~open_], symbol[~open_]))
+            best = np.flatnonzero(open_ & (worth == np.repeat(top, sizes)))
+            best = best[np.concatenate(([True], unit[best][1:] != unit[best][:-1]))] if len(best) else best
+            symbol[best] = self.merged[entry[best]]
+            open_[best + 1] = False
+            place = np.cumsum(open_)[best] - 1
+            symbol, unit, entry = symbol[open_], unit[open_], entry[open_]
+            changed = np.unique(np.concatenate((place, place[place > 0] - 1)))
+            changed = changed[changed >= 0]
+            entry[changed] = none
+            changed = changed[changed + 1 < len(unit)]
+            changed = changed[unit[changed] == unit[changed + 1]]
+            entry[changed] = self.pair(symbol[changed], symbol[changed + 1])
+        if not done:
+            return {}
+        owner, symbol = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(owner, kind="stable")
+        ids = symbol[order].astype("<i4").tobytes()
+        ends = np.cumsum(np.bincount(owner, minlength=len(units))) * 4
+        begins = np.concatenate(([0], ends[:-1]))
+        return {u: ids[a:b] for u, a, b, k in zip(units, begins.tolist(), ends.tolist(), known.tolist(), strict=True) if k}
+
+
 def lines_of_units(text: str, prefix: bool) -> list[list[str]]:
     """Units of each line; the line breaks between them stand by themselves."""
     marked = text.replace(" ", BLANK)
@@ -344,11 +417,22 @@ class UnitIds(dict):
     def __init__(self, model: Model, frequent: dict[str, bytes]):
         super().__init__(frequent)
         self.model, self.frequent = model, frequent
+        self.merges = Merges(model) if model.algorithm == BPE else None
 
-    def __missing__(self, unit: str) -> bytes:
+    def learn(self, texts: list[list[list[str]]]) -> None:
+        """Take in the short units of some texts, all at once where the model merges."""
+        if self.merges:
+            met = set().union(*[units for lines in texts for units in lines])
+            self.update(self.merges.encode([u for u in met - self.keys() if len(u) <= SHORT]))
+
+    def forget(self) -> None:
+        """Keep the number of units bounded."""
         if len(self) > len(self.frequent) + HELD:
             self.clear()
             self.update(self.frequent)
+
+    def __missing__(self, unit: str) -> bytes:
+        self.forget()
         ids = np.array(self.model.encode_unit(unit), "<i4").tobytes()
         if len(unit) <= 4 * UNIT_CHARS:
             self[unit] = ids
@@ -385,8 +469,10 @@ def _encoder(docs: DataFrame, model: Model, text_col: str):
 
         def encoded(texts: pa.Array) -> pa.Array:
             parts = []
-            for text in as_bytes(texts):
-                lines = lines_of_units((text or b"").decode("utf-8", "replace"), prefix)
+            split = [lines_of_units((text or b"").decode("utf-8", "replace"), prefix) for text in as_bytes(texts)]
+            known.forget()
+            known.learn(split)
+            for lines in split:
                 parts.append(newline.join([b"".join(map(known.__getitem__, units)) for units in lines]))
             ends = np.cumsum([0, *[len(p) // 4 for p in parts]]).astype(np.int32)
             return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))

@@ -380,6 +380,16 @@ def test_pieces_equal_the_library(spark):
     assert {r["doc_id"]: r for r in once} == got
 
 
+def test_merges_at_once_equal_single_ones():
+    model = pieces.Model.load(PIECE_MODEL)
+    rng = random.Random(8)
+    units = {"".join(rng.choice("▁eeaathinosr.,=-é☃漢") for _ in range(rng.randint(1, pieces.SHORT))) for _ in range(3000)}
+    got = pieces.Merges(model).encode(sorted(units))
+    assert len(got) > 500
+    assert all(np.frombuffer(ids, "<i4").tolist() == model.encode_unit(unit) for unit, ids in got.items())
+    assert pieces.Merges(model).encode([]) == {}
+
+
 def test_folds_equal_the_task_recurrences(spark):
     rng = random.Random(4)
     units = sorted({"".join(rng.choice("abcdehint.,é☃") for _ in range(rng.choice([1, 2, 3, 5, 9]))) for _ in range(120)} | {"▁the", "▁▁a", "▁"})
