@@ -271,8 +271,7 @@ class Merges:
             open_[best + 1] = False
             place = np.cumsum(open_)[best] - 1
             symbol, unit, entry = symbol[open_], unit[open_], entry[open_]
-            changed = np.unique(np.concatenate((place, place[place > 0] - 1)))
-            changed = changed[changed >= 0]
+            changed = np.concatenate((place, place[place > 0] - 1))
             entry[changed] = none
             changed = changed[changed + 1 < len(unit)]
             changed = changed[unit[changed] == unit[changed + 1]]
