@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Shuffle files go when the query that wrote them has ended, not when the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -69,5 +71,21 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "step")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    # What the write shuffled is of no use once the copy is there.
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    copy = spark.read.schema(df.schema).parquet(path)
+    copy._written_to = path
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote and that no later step reads."""
+    for copy in copies:
+        context = copy.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(copy._written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
