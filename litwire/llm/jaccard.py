@@ -181,26 +181,34 @@ def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
 
 
 def verify(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """Those of the class pairs (a, b) that link. Members of a hot ``a`` are dealt to several tasks."""
+    """Those of the class pairs (a, b) that link. Members of a hot ``a`` are dealt to several tasks.
+
+    A task reads the set of each ``a`` before those of its partners, and holds one ``a`` at a time.
+    """
+    pairs = cut(pairs.distinct())
     load = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
-    left = load.join(sets.select(F.col("kind").alias("a"), F.col("own").alias("own_a")), "a")
-    left = left.select("a", "own_a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
+    left = load.join(sets.select(F.col("kind").alias("a"), "own"), "a")
+    left = left.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "own")
     right = pairs.join(load, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    right = right.join(sets.select(F.col("kind").alias("b"), F.col("own").alias("own_b")), "b")
-    right = right.select(F.col("a").alias("to"), F.col("salt").alias("part"), "b", "own_b")
-
-    def compare(one: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
-        linked = []
-        if len(one) and len(many):
-            base = np.frombuffer(one["own_a"].iloc[0], np.uint64)
-            for b, raw in zip(many["b"], many["own_b"], strict=True):
-                other = np.frombuffer(raw, np.uint64)
-                common = int(np.count_nonzero(base[np.minimum(np.searchsorted(base, other), len(base) - 1)] == other))
-                if 100 * common >= share * (len(base) + len(other) - common):
-                    linked.append((one["a"].iloc[0], b))
-        return pd.DataFrame(linked, columns=["a", "b"]).astype("int64")
-
-    return left.groupBy("a", "salt").cogroup(right.groupBy("to", "part")).applyInPandas(compare, "a long, b long")
+    right = right.join(sets.select(F.col("kind").alias("b"), "own"), "b").select("a", "salt", "b", "own")
+
+    def compare(batches):
+        of, base = None, None
+        for batch in batches:
+            a, b, own = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)
+            linked = []
+            for i in range(batch.num_rows):
+                if b[i] is None:
+                    of, base = a[i], np.frombuffer(own[i].as_py(), np.uint64)
+                elif a[i] == of:
+                    other = np.frombuffer(own[i].as_buffer(), np.uint64)
+                    common = int(np.count_nonzero(base[np.minimum(np.searchsorted(base, other), len(base) - 1)] == other))
+                    if 100 * common >= share * (len(base) + len(other) - common):
+                        linked.append((of, b[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in linked], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    rows = left.union(right).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def _near(a, b, share: int):
