@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from litwire.llm.common import as_bytes, mixed
 from litwire.llm.components import connect, relabel
-from litwire.session import cut
+from litwire.session import cut, discard
 
 WORDS, SHARE = 5, 80
 SKETCH, CHUNK, FAN_IN = 1 << 22, 1 << 14, 16
@@ -267,27 +267,32 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
         return cut(placed.join(apart, "t").join(known, "kind"))
 
     # First, members meet one of theirs, another in each round: that joins what is well linked without all pairs.
+    # Rounds go on while they settle a tenth of what is open; what they leave is compared exactly below.
+    live, open_rows = in_question(), None
     for turn in range(ROUNDS):
-        live = in_question()
-        if live.isEmpty():
+        before, open_rows = open_rows, live.count()
+        if not open_rows or (before and 10 * open_rows > 9 * before):
             break
         lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("kind", F.lit(turn)).alias("h"), "kind", "comp")).alias("l")).select("t", F.col("l.kind").alias("a"), F.col("l.comp").alias("ca"))
         lead = lead.join(known.select(F.col("kind").alias("a"), F.col("x").alias("y")), "a")
         met = live.join(lead, "t").where((F.col("comp") != F.col("ca")) & _may_link("x", "y", share)).select("a", F.col("kind").alias("b"))
-        comps = connect(verify(met.distinct(), sets, share), comps)
-    live = in_question()
+        comps = connect(verify(met, sets, share), comps)
+        discard(live)
+        live = in_question()
     sizes_in = live.groupBy("t", "comp").agg(F.count("*").alias("m"))
     main = sizes_in.groupBy("t").agg(F.max(F.struct("m", "comp")).alias("l")).select("t", F.col("l.comp").alias("main"))
-    live = live.join(main, "t")
-    minor = live.where("comp <> main").select("t", F.col("kind").alias("a"), F.col("comp").alias("ca"), F.col("x").alias("xa"))
-    other = live.select("t", F.col("kind").alias("b"), F.col("comp").alias("cb"), F.col("x").alias("xb"), "main")
+    placed = live.join(main, "t")
+    minor = placed.where("comp <> main").select("t", F.col("kind").alias("a"), F.col("comp").alias("ca"), F.col("x").alias("xa"))
+    other = placed.select("t", F.col("kind").alias("b"), F.col("comp").alias("cb"), F.col("x").alias("xb"), "main")
     found = minor.join(other, "t").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))) & _may_link("xa", "xb", share))
     # The same within a group: members that its head did not link, against all other members.
     inside = relabel(relabel(own, comps, "a"), comps, "b")
     loose = inside.where("a_comp <> b_comp").select("a", F.col("b").alias("one"), F.col("b_comp").alias("one_comp"))
     twins = loose.join(inside, "a").where((F.col("one_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("a_comp")) | (F.col("one") < F.col("b"))))
     twins = twins.select(F.col("one").alias("a"), "b")
-    return connect(verify(found.select("a", "b").union(twins).distinct(), sets, share), comps)
+    comps = connect(verify(found.select("a", "b").union(twins), sets, share), comps)
+    discard(posts, pairs, members, sets, live)
+    return comps
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, share: int = SHARE) -> DataFrame:
