@@ -37,7 +37,7 @@ WORDS, SHARE = 5, 80
 SKETCH, CHUNK, FAN_IN = 1 << 22, 1 << 14, 16
 FILTER_BITS = 1 << 25
 MEMBERS = 1000
-SIGNATURE, ROUNDS = 8, 4
+SIGNATURE, ROUNDS = 16, 4
 CACHE = 150_000
 SLICE = 500
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -76,10 +76,12 @@ def sliced(batches, size: int = SLICE):
 
 
 def signature(own: np.ndarray) -> np.ndarray:
-    """A bit for each shingle in SIGNATURE words of 64: two sets differ in as many shingles as bits, at least."""
-    bits = np.zeros(64 * SIGNATURE, np.uint8)
-    bits[(own % np.uint64(64 * SIGNATURE)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.int64)
+    """Parities of shingle counts in 64 * SIGNATURE cells: two sets differ in as many shingles as bits, at least.
+
+    Parities, unlike marks, still tell sets apart that are larger than the number of cells.
+    """
+    cells = np.bincount((own % np.uint64(64 * SIGNATURE)).astype(np.int64), minlength=64 * SIGNATURE)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
 
 
 def need(size: int, share: int) -> int:
@@ -258,7 +260,11 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
 
     # What may still link: pairs of members with a prefix shingle in common, in different components.
     known = sets.select("kind", F.struct("n", "sign").alias("x"))
-    rows = posts.select("t", "grp").distinct().join(members.select("grp", "kind"), "grp").select("t", "kind")
+    rows = posts.select("t", "grp").join(members.select("grp", "kind"), "grp").select("t", "kind")
+    # Shingles with the same members say the same: one of them stays.
+    lists = rows.groupBy("t").agg(F.count("*").alias("c"), *[F.bit_xor(F.xxhash64("kind", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+    once = lists.where("c > 1").groupBy("c", "h1", "h2").agg(F.min("t").alias("t"))
+    rows = cut(rows.join(once.select("t"), "t"))
 
     def in_question() -> DataFrame:
         """Members (t, kind, comp, x) of shingles whose members are in several components."""
@@ -291,7 +297,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
     twins = loose.join(inside, "a").where((F.col("one_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("a_comp")) | (F.col("one") < F.col("b"))))
     twins = twins.select(F.col("one").alias("a"), "b")
     comps = connect(verify(found.select("a", "b").union(twins), sets, share), comps)
-    discard(posts, pairs, members, sets, live)
+    discard(posts, pairs, members, sets, rows, live)
     return comps
 
 
