@@ -177,8 +177,10 @@ def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), signs], names=["rep", "kind", "own", "sign"])
 
     made = docs.select(F.col(id_col).cast("long").alias("rep"), text_col).mapInArrow(hash_again, "rep long, kind long, own binary, sign array<long>")
-    # Rows with one id and text twice are kept once.
-    rows = made.join(wanted, ["rep", "kind"]).dropDuplicates(["kind"])
+    # Sets shuffle once: by class alone, for the join and for rows with one id and text twice, which are kept once.
+    # The ids are compared by difference, as an equality would become a join key.
+    named = wanted.select("kind", "grp", F.col("rep").alias("_rep"))
+    rows = made.join(named, "kind").where(F.col("rep").bitwiseXOR(F.col("_rep")) == 0).dropDuplicates(["kind"])
     return cut(rows.select("kind", "grp", (F.octet_length("own") / 8).cast("long").alias("n"), "own", "sign"))
 
 
