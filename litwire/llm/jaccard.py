@@ -6,11 +6,11 @@ with one set are one class. Shingles have a global order, rare ones first
 any fixed order gives the same result). Two sets with a Jaccard index of at
 least t share one of the first n - ceil(t n) + 1 shingles of either, so the
 prefixes, not the sets, are joined. Classes with equal prefix and size form a
-group; groups that share a prefix shingle are candidates.
+group; groups of like size that share a prefix shingle are candidates.
 
 The result asked for is connected classes, so pairs inside a component that is
-already connected are not needed. Each prefix shingle has a leader, its
-smallest group. Members are first verified against the leader that they share
+already connected are not needed. Each prefix shingle has a leader for
+each band of sizes, its smallest group there. Members are first verified against the leader that they share
 most with, then against leaders of other components, then for some rounds
 against other members; in the end pairs with a prefix shingle in common that
 are still in different components are compared exactly. Sizes and bit
@@ -20,6 +20,7 @@ link. Copies of a hot text cost a few verifications each, not all pairs.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -219,6 +220,11 @@ def _near(a, b, share: int):
     return (F.lit(100) * F.least(a, b)) >= (F.lit(share) * F.greatest(a, b))
 
 
+def _band(n, share: int):
+    """Bands of sizes: two sizes that may link are in one, or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / (math.log(100 / share) + 1e-9)).cast("long")
+
+
 def _may_link(a: str, b: str, share: int):
     """Whether sizes and signatures of the structs ``a`` and ``b`` (n, sign) leave a link possible; never false for one."""
     apart = sum((F.bit_count(F.get(f"{a}.sign", F.lit(i)).bitwiseXOR(F.get(f"{b}.sign", F.lit(i)))) for i in range(SIGNATURE)), F.lit(0))
@@ -236,9 +242,13 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
     """kind, comp: components of the classes that link with any other class."""
     classes = described.where("n > 0 and doc_id is not null")
     # Equal prefix and size: one group, led by its smallest class.
-    posts = classes.select("grp", "n", F.explode("prefix").alias("t"))
-    shared = posts.groupBy("t").agg(F.min("grp").alias("lead"), F.max("grp").alias("last")).where("lead < last").select("t", "lead")
-    posts = cut(posts.join(shared, "t").select("t", "lead", "grp", "n").distinct())
+    posts = classes.select("grp", "n", _band(F.col("n"), share).alias("band"), F.explode("prefix").alias("t"))
+    # Sizes that may link are in one band or in neighbouring ones. So each group counts in the cell of its band and in the next;
+    # whoever shares no cell of a shingle with another group has no partner by it. The size of the leader decides nothing here.
+    cells = posts.select("t", "grp", F.explode(F.array("band", F.col("band") + 1)).alias("cell"))
+    cells = cells.groupBy("t", "cell").agg(F.min("grp").alias("lead"), F.max("grp").alias("last")).where("lead < last")
+    shared = cells.select("t", "lead", F.explode(F.array("cell", F.col("cell") - 1)).alias("band")).groupBy("t", "band").agg(F.min("lead").alias("lead"))
+    posts = cut(posts.join(shared, ["t", "band"]).select("t", "lead", "grp", "n").distinct())
 
     sizes = posts.select("grp", "n").distinct()
     pairs = posts.where("grp <> lead").groupBy("grp", "lead").agg(F.count("*").alias("votes"), F.first("n").alias("n"))
@@ -247,7 +257,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
 
     members = classes.groupBy("kind", "grp").agg(F.min("doc_id").alias("rep"))
     inner = members.groupBy("grp").agg(F.min("kind").alias("head"), F.max("kind").alias("last")).where("head < last").select("grp", "head")
-    active = pairs.select("grp").union(pairs.select("lead")).union(inner.select("grp")).distinct()
+    active = posts.select("grp").union(inner.select("grp")).distinct()
     members = cut(members.join(active, "grp"))
     sets = class_sets(docs, members, id_col, text_col, words)
     heads = members.groupBy("grp").agg(F.min("kind").alias("head"))

@@ -85,6 +85,25 @@ def test_large_group_of_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts)
 
 
+def test_fragments_hide_no_link(spark):
+    # Two near copies, and every passage that they share as a document of its own: leaders of quite another size.
+    texts = []
+    for seed in range(80):
+        words = [f"s{seed}w{i}" for i in range(14)]
+        texts += [" ".join(words), " ".join([*words[:-1], f"s{seed}new"])]
+        texts += [" ".join(words[i : i + 5]) for i in range(9)]
+    texts = dict(enumerate(texts))
+    got = jaccard.jaccard_components(documents(spark, list(texts.values()))).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts)
+
+
+def test_neighbouring_sizes_are_in_neighbouring_bands(spark):
+    for share in (50, 80, 100):
+        rows = spark.range(1, 3000).select("id", (F.floor(F.col("id") * 100 / share)).alias("most"))
+        got = rows.select((jaccard._band(F.col("most"), share) - jaccard._band(F.col("id"), share)).alias("d")).distinct().collect()
+        assert {r["d"] for r in got} <= {0, 1}
+
+
 def test_signature_never_rules_out_a_link(spark):
     rng = np.random.default_rng(3)
     for _ in range(50):
