@@ -356,6 +356,36 @@ def test_rates_equal_plain_descent(spark):
     assert totals == pytest.approx((p * (rate * n)[:, None]).sum(0), rel=0.01)
 
 
+@pytest.mark.parametrize(
+    ("targets", "clear", "vague"),
+    [([0.97, 0.02, 0.01], 0.999, 0.849), ([0.97, 0.02, 0.01], 0.97, 0.82), ([0.97, 0.02, 0.01], 1.0, 0.6), ([1.0, 0.0, 0.0], 0.97, 0.82), ([0.001, 0.001, 0.998], 0.97, 0.82)],
+)
+def test_rates_are_the_minimum(spark, targets, clear, vague):
+    # Shares as in the labels of sf0.1, targets as in the query. The objective is convex: no projected gradient, no better rates.
+    p, n = [], []
+    for i, share in enumerate([0.77, 0.11, 0.12]):
+        for top, part in ((clear, 0.7), (vague, 0.3)):
+            p.append([top if j == i else (1 - top) / 2 for j in range(3)])
+            n.append(int(1_000_000 * share * part))
+    p, n, goal = np.array(p), np.array(n, float), np.maximum(targets, 1e-9) * sum(n)
+    table = spark.createDataFrame([(row.tolist(), int(k)) for row, k in zip(p, n, strict=True)], "_p array<double>, _tokens long")
+    steps, shrink = mixing.fit_rates(table, targets)
+    rate = np.array([r[0] for r in table.select(mixing.rate_of(steps, shrink)).collect()])
+    gap = ((p * (rate * n)[:, None]).sum(0) - goal) / goal
+    gradient = p @ gap + mixing.RIDGE * (rate - 1)
+    scale = 1 + np.abs(gap).max()
+    assert (rate >= 0).all()
+    assert np.abs(gradient[rate > 0]).max() < 1e-6 * scale
+    assert (gradient[rate == 0] > -1e-6 * scale).all()
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    texts = [f"fine words in order {i} here now" for i in range(30)] + [f"junk ### $$$ %%% {i}" for i in range(30)]
+    labelled = spark.createDataFrame([(i, "good" if i < 30 else "poor") for i in range(60)], "doc_id long, domain string")
+    with pytest.warns(UserWarning, match="poor"):
+        mixing.document_rates(documents(spark, texts[:30]), labelled, {"good": 0.1, "poor": 0.9})
+
+
 # Top-k ------------------------------------------------------------------------
 
 
