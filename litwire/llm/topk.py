@@ -135,7 +135,8 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
     Components become floor(scale * x); the score is their exact integer
     product. Ties go to the smaller id. Vectors that are null or empty or hold
     null or non-finite components take no part, nor do rows without id.
-    Equal rows count once, and rows with a query's id are not its candidates.
+    Equal rows count once; rows with one id and different vectors are rows of
+    their own, as queries and as candidates, ranked under that id. Rows with a query's id are not its candidates.
     Vectors meet only vectors of their own length. Components beyond 2**26
     after scaling raise an error. Other columns are left aside; an empty table
     gives an empty table.
@@ -193,6 +194,5 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     found = plans.groupBy("cb", "dim", "qg").cogroup(facing.groupBy("xcb", "xdim", "xqg")).applyInPandas(meet_block, "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

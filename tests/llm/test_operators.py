@@ -389,6 +389,16 @@ def test_targets_out_of_reach_are_reported(spark):
 # Top-k ------------------------------------------------------------------------
 
 
+def test_top_k_keeps_rows_of_one_id(spark):
+    # Ids 7 (a candidate) and 0 (a query) twice with different vectors; an equal row of id 3.
+    rows = [(0, [4.0, 1.0]), (0, [1.0, 5.0]), (7, [9.0, 9.0]), (7, [8.0, 9.0]), (3, [2.0, 2.0]), (3, [2.0, 2.0]), (4, [1.0, 1.0]), (5, [0.5, 0.5]), (6, [-1.0, 0.5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in topk.top_inner_products(table, F.col("vec_id") == 0).orderBy("query_id", "rank").collect()]
+    whole = {(i, tuple(int(256 * x) for x in v)) for i, v in rows}
+    pairs = sorted((-sum(x * y for x, y in zip(q, v, strict=True)), j) for i, q in whole if i == 0 for j, v in whole if j != 0)
+    assert got == [(0, rank, j, -score) for rank, (score, j) in enumerate(pairs[:5], 1)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_top_k_equals_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 64)
