@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litwire import fixed
 from litwire.functions.text import fold_case, squeeze
-
-NATIVE_TERMS = 500
-CHUNK_TERMS = 100_000
+from litwire.operators.terms import BREAK, TEXT_KEY, candidate_terms, text_key
 
 
 def score_hundredths(title_hits: Column, body_hits: Column, negative_only: Column) -> Column:
@@ -34,96 +28,41 @@ def scoring_terms(profile_terms: DataFrame) -> DataFrame:
     )
 
 
-def _native(records: DataFrame, rows: list[Row], title: Column, body: Column) -> DataFrame:
-    """Few terms: one array of literals per profile, all in the JVM."""
-    by_profile: dict[str, list[str]] = {}
-    for row in rows:
-        by_profile.setdefault(row["profile_id"], []).append(row["term"])
-
-    def hits(text: str, terms: list[str]) -> Column:
-        return sum((F.contains(F.col(text), F.lit(t)).cast("int") for t in sorted(terms)), F.lit(0))
-
-    scored = [
-        F.struct(
-            F.lit(p).alias("profile_id"),
-            hits("_title", terms).alias("title_hits"),
-            hits("_body", terms).alias("body_hits"),
-            F.col("_body").rlike("(?U)" + fixed.NEGATIVE_MENTION + re.escape(p.lower())).alias("negative_only"),
-        )
-        for p, terms in sorted(by_profile.items())
-    ]
-    lowered = records.withColumns({"_title": F.lower(title), "_body": F.lower(body)})
-    return lowered.select(*records.columns, F.explode(F.filter(F.array(*scored), lambda s: s["title_hits"] + s["body_hits"] > 0)).alias("_s")).select(*records.columns, "_s.*")
-
-
-def _matcher(rows: list[tuple[str, str]], key: str):
-    """One pass per text over a bounded piece of a large dictionary."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import ahocorasick
-
-        automaton, owners = ahocorasick.Automaton(), {}
-        for profile, term in rows:
-            owners.setdefault(term, []).append(profile)
-        for term in owners:
-            automaton.add_word(term, term)
-        automaton.make_automaton()
-        negative: dict[str, re.Pattern] = {}
-        for batch in batches:
-            out = []
-            for rid, title, body in zip(batch[key], batch["_title"], batch["_body"]):
-                counts: dict[str, list[int]] = {}
-                for side, text in ((0, title), (1, body)):
-                    for term in {t for _, t in automaton.iter(text or "")}:
-                        for profile in owners[term]:
-                            counts.setdefault(profile, [0, 0])[side] += 1
-                for profile, (t, b) in counts.items():
-                    if profile not in negative:
-                        negative[profile] = re.compile(fixed.NEGATIVE_MENTION + re.escape(profile.lower()))
-                    out.append((rid, profile, t, b, bool(negative[profile].search(body or ""))))
-            yield pd.DataFrame(out, columns=[key, "profile_id", "title_hits", "body_hits", "negative_only"])
-
-    return run
-
-
-def _by_pieces(records: DataFrame, terms: DataFrame, total: int, title: Column, body: Column, key: str) -> DataFrame:
-    """Many terms: the dictionary in pieces of bounded size, hits summed."""
-    pieces = -(-total // CHUNK_TERMS)
-    texts = records.select(key, F.lower(title).alias("_title"), F.lower(body).alias("_body"))
-    kind = records.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, profile_id string, title_hits int, body_hits int, negative_only boolean"
-    numbered = terms.withColumn("_piece", F.pmod(F.xxhash64("profile_id", "term"), F.lit(pieces)))
-    hits = None
-    for piece in range(pieces):
-        rows = [(r["profile_id"], r["term"]) for r in numbered.where(F.col("_piece") == piece).collect()]
-        part = texts.mapInPandas(_matcher(rows, key), schema)
-        hits = part if hits is None else hits.unionByName(part)
-    summed = hits.groupBy(key, "profile_id").agg(
-        F.sum("title_hits").cast("int").alias("title_hits"),
-        F.sum("body_hits").cast("int").alias("body_hits"),
-        F.bool_or("negative_only").alias("negative_only"),
-    )
-    return records.join(summed, key)
-
-
-def relevance(
-    records: DataFrame,
-    profile_terms: DataFrame,
-    title: str = "title",
-    body: str = "abstract",
-    key: str = "record_id",
-    native_terms: int = NATIVE_TERMS,
-) -> DataFrame:
-    """One row per (record, profile) that has a hit, with hits, score and penalty flag; alike at every dictionary size."""
+def _literal(text: Column) -> Column:
+    """A pattern that matches ``text`` as it is."""
+    return F.concat(F.lit("\\Q"), F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+
+
+def relevance(records: DataFrame, profile_terms: DataFrame, title: str = "title", body: str = "abstract") -> DataFrame:
+    """One row per (record, profile) that has a hit, with hits, score and penalty flag.
+
+    One way for dictionaries of every size. Records need no id: missing and
+    repeated ids change nothing, and equal records each get their own rows. An
+    empty dictionary, or no record, gives an empty table.
+    """
     terms = scoring_terms(profile_terms)
-    total = terms.count()
-    title_text = squeeze(F.coalesce(F.col(title), F.lit("")))
-    body_text = squeeze(F.coalesce(F.col(body), F.lit("")))
-    if total <= native_terms:
-        found = _native(records, terms.collect(), title_text, body_text)
-    else:
-        found = _by_pieces(records, terms, total, title_text, body_text, key)
+    title_text = F.lower(squeeze(F.coalesce(F.col(title), F.lit(""))))
+    body_text = F.lower(squeeze(F.coalesce(F.col(body), F.lit(""))))
+    key = text_key(F.col(title), F.col(body))
+    texts = records.select(*key, F.concat(title_text, F.lit(BREAK), body_text).alias("_text"))
+    near = candidate_terms(texts, terms).join(terms, "term")
+    near = near.groupBy(*TEXT_KEY, "profile_id").agg(F.collect_set("term").alias("_terms"))
+    lowered = records.select("*", *key, title_text.alias("_title"), body_text.alias("_body"))
+
+    def hits(text: str) -> Column:
+        return F.size(F.filter("_terms", lambda t: F.contains(F.col(text), t)))
+
+    name = F.lower("profile_id")
+    denied = F.contains(F.col("_body"), name) & F.rlike(F.col("_body"), F.concat(F.lit("(?U)" + fixed.NEGATIVE_MENTION), _literal(name)))
+    found = lowered.join(near, TEXT_KEY).select(
+        *records.columns,
+        "profile_id",
+        hits("_title").alias("title_hits"),
+        hits("_body").alias("body_hits"),
+        F.coalesce(denied, F.lit(False)).alias("negative_only"),
+    )
     points = score_hundredths(F.col("title_hits"), F.col("body_hits"), F.col("negative_only"))
+    found = found.where(F.col("title_hits") + F.col("body_hits") > 0)
     return found.withColumn("score_points", points).withColumn("relevance_score", F.col("score_points") / 100)
 
 

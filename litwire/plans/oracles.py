@@ -366,7 +366,13 @@ def oracle_sql() -> dict[str, str]:
         "window_filter_undated": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'undated' END AS published_date, 'u' || o_custkey AS url FROM orders WHERE (o_orderstatus = 'P' OR o_orderdate::DATE BETWEEN DATE '1997-06-30' AND DATE '1998-06-30') AND o_custkey % 10 <> 0",
         "parse_dates": PARSED,
         "relevance_scores": _relevance(),
-        "relevance_scores_large_dictionary": _relevance(),
+        "relevance_scores_large_dictionary": (
+            f"WITH {RECORDS}, t AS (SELECT DISTINCT 'set' || (item_id % 7) AS profile_id, unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) AS term FROM benchmark), "
+            "d AS (SELECT doc_id, lower(title) AS title, lower(body) AS body FROM r), "
+            "h AS (SELECT doc_id, profile_id, any_value(body) AS body, count(*) FILTER (contains(title, term))::INT AS title_hits, count(*) FILTER (contains(body, term))::INT AS body_hits FROM d, t GROUP BY ALL), "
+            r"s AS (SELECT *, greatest(0, least(100, title_hits * 45 + body_hits * 8) - CASE WHEN title_hits = 0 AND contains(body, profile_id) AND regexp_matches(body, '\b(negative|tested negative|no evidence of)\b.{0,80}' || profile_id) THEN 40 ELSE 0 END)::INT AS score_points FROM h WHERE title_hits + body_hits > 0) "
+            "SELECT doc_id, profile_id, title_hits, body_hits, score_points, score_points / 100.0::DOUBLE AS relevance_score FROM s WHERE score_points >= 18"
+        ),
         "query_group_matches": _matches(True),
         "query_group_counts": _plan_counts(),
         "paper_type_split": f"WITH {RECORDS} SELECT source, {KIND} AS paper_type, count(*) AS n_docs, sum(n_chars)::BIGINT AS chars FROM r GROUP BY ALL",

@@ -191,16 +191,18 @@ def _terms(spark) -> DataFrame:
 
 def relevance_scores(spark, sf):
     rows = records(spark, sf).select("doc_id", "title", "body")
-    scored = relevance.relevance(rows, _terms(spark), body="body", key="doc_id")
+    scored = relevance.relevance(rows, _terms(spark), body="body")
     kept = relevance.filter_relevant(scored)
     return kept.select("doc_id", "profile_id", "title_hits", "body_hits", "score_points", "relevance_score")
 
 
 def relevance_scores_large_dictionary(spark, sf):
-    """The same scores by the path for dictionaries beyond literal size."""
+    """Scores by a dictionary that grows with the data: every word of the benchmark texts, dealt to seven profiles."""
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0))
+    profile = F.concat(F.lit("set"), (F.col("item_id") % 7).cast("string"))
+    terms = table(spark, sf, "benchmark").select(profile.alias("profile_id"), words.alias("term"))
     rows = records(spark, sf).select("doc_id", "title", "body")
-    scored = relevance.relevance(rows, _terms(spark), body="body", key="doc_id", native_terms=0)
-    kept = relevance.filter_relevant(scored)
+    kept = relevance.filter_relevant(relevance.relevance(rows, terms, body="body"))
     return kept.select("doc_id", "profile_id", "title_hits", "body_hits", "score_points", "relevance_score")
 
 
@@ -1054,7 +1056,7 @@ def linked_data_pages(spark, sf):
 def flagship(spark, sf):
     """Score, group, merge and rank the corpus: one issue per source."""
     rows = records(spark, sf).select("doc_id", "source", "title", "body", "n_chars")
-    scored = relevance.filter_relevant(relevance.relevance(rows, _terms(spark), body="body", key="doc_id"))
+    scored = relevance.filter_relevant(relevance.relevance(rows, _terms(spark), body="body"))
     best = scored.withColumn("paper_id", text.stable_id("paper-", _key()))
     size = F.char_length("body")
     merged = best.groupBy("profile_id", "paper_id").agg(

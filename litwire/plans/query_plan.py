@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from litwire import fixed
 from litwire.functions.text import blank_to_null, squeeze, unique_strings
-
-MAX_LITERAL_GROUPS = 1_000
+from litwire.operators.terms import TEXT_KEY, candidate_terms, text_key
 
 
 def _quoted(term: Column) -> Column:
@@ -79,40 +78,32 @@ def match_plan(records: DataFrame, plan: DataFrame, text: Column, use_negatives:
     """Records with the groups they satisfy: any term, any topic if there are
     topics, and for news no negative term.
 
-    A plan of bounded size becomes literal conditions on the scan; a larger
-    one is broadcast in pieces of that size, each an equally cheap scan.
+    Plans of any size go the same way: their terms meet the texts through the
+    term index, and the groups met by a text are then decided on it. A plan
+    row with the same ids as another is a group of its own; records need no
+    id. An empty plan gives an empty table.
     """
-    columns = ["profile_id", "group_id", "terms", "topics", "negatives"]
-    lowered = records.withColumn("_text", F.lower(text))
-    total = plan.count()
-    pieces = max(1, -(-total // MAX_LITERAL_GROUPS))
-    numbered = plan.withColumn("_piece", F.pmod(F.xxhash64("profile_id", "group_id"), F.lit(pieces)))
-    out = None
-    for piece in range(pieces):
-        hits = []
-        for row in numbered.where(F.col("_piece") == piece).select(*columns).collect():
-
-            def any_in(terms: list[str]) -> Column:
-                found = F.lit(False)
-                for term in terms:
-                    found = found | F.contains(F.col("_text"), F.lit(term.lower()))
-                return found
-
-            ok = any_in(row["terms"])
-            if row["topics"]:
-                ok = ok & any_in(row["topics"])
-            if use_negatives and row["negatives"]:
-                ok = ok & ~any_in(row["negatives"])
-            hit = F.struct(F.lit(row["profile_id"]).alias("profile_id"), F.lit(row["group_id"]).alias("group_id"))
-            hits.append(F.when(ok, hit))
-        if not hits:
-            continue
-        part = lowered.select(
-            *records.columns, F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("_g")
-        ).select(*records.columns, "_g.*")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return records.where(F.lit(False)).withColumns(
-            {"profile_id": F.lit(None).cast("string"), "group_id": F.lit(None).cast("string")}
-        )
-    return out
+    lists = ["terms", "topics", "negatives"]
+    groups = plan.select("profile_id", "group_id", (F.size("topics") > 0).alias("_needs_topic"), F.xxhash64("profile_id", "group_id", *lists).alias("_g"), *lists)
+
+    def of_kind(i: int) -> Column:
+        terms = F.coalesce(F.col(lists[i]), F.array().cast("array<string>"))
+        return F.transform(terms, lambda t: F.struct(F.lit(i).alias("kind"), F.lower(t).alias("term")))
+
+    owned = groups.withColumn("_e", F.explode(F.concat(*[of_kind(i) for i in range(3)]))).select("profile_id", "group_id", "_needs_topic", "_g", "_e.kind", "_e.term").distinct()
+    key = text_key(text)
+    texts = records.select(*key, F.lower(text).alias("_text"))
+    met = candidate_terms(texts, owned.select("term")).join(owned, "term")
+    met = met.groupBy(*TEXT_KEY, "_g").agg(
+        *[F.any_value(c).alias(c) for c in ("profile_id", "group_id", "_needs_topic")],
+        *[F.collect_set(F.when(F.col("kind") == i, F.col("term"))).alias(f"_{c}") for i, c in enumerate(lists)],
+    )
+
+    def any_in(terms: str) -> Column:
+        return F.exists(terms, lambda t: F.contains(F.col("_text"), t))
+
+    ok = any_in("_terms") & (~F.col("_needs_topic") | any_in("_topics"))
+    if use_negatives:
+        ok = ok & ~any_in("_negatives")
+    rows = records.select("*", *key, F.lower(text).alias("_text")).join(met, TEXT_KEY)
+    return rows.where(ok).select(*records.columns, "profile_id", "group_id")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from litwire.functions.fuzzy import indel_ratio
 from litwire.operators.joins import lookup_join
-from litwire.operators.relevance import relevance
 from litwire.operators.similarity import similar_pairs
 from litwire.sources.landing import read_json
 
@@ -44,14 +43,6 @@ def test_titles_of_few_letters_lose_no_pair(spark):
         assert expected
 
 
-def test_relevance_is_alike_on_both_sides_of_the_switch(spark):
-    records = spark.createDataFrame([(1, "alpha title", "body of beta"), (2, "nothing", "here")], "record_id long, title string, abstract string")
-    terms = spark.createDataFrame([("p", "alpha"), ("p", "beta"), ("q", "gamma")], "profile_id string, term string")
-    few, many = (relevance(records, terms, native_terms=n).orderBy("record_id", "profile_id") for n in (500, 0))
-    columns = ["record_id", "profile_id", "title_hits", "body_hits", "score_points"]
-    assert few.select(columns).collect() == many.select(columns).collect() != []
-
-
 def test_hot_key_that_the_lookup_lacks_is_dealt_out(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") < 900, "missing").when(F.col("id") < 950, F.concat(F.lit("k"), F.col("id"))).alias("key"))
     lookup = spark.createDataFrame([("k901", 1), ("k902", 2)], "key string, v int")
