@@ -83,18 +83,18 @@ def fold_case(text: Column) -> Column:
 
 
 def unique_strings(values: Column) -> Column:
-    """Distinct non-empty strings regardless of case, first spelling kept."""
-    none = F.array().cast(T.ArrayType(T.StringType()))
-    start = F.struct(none.alias("seen"), none.alias("kept"))
-
-    def step(acc: Column, value: Column) -> Column:
-        key = fold_case(value)
-        grown = F.struct(
-            F.array_append(acc["seen"], key).alias("seen"), F.array_append(acc["kept"], value).alias("kept")
-        )
-        return F.when((value == "") | F.array_contains(acc["seen"], key), acc).otherwise(grown)
+    """Distinct non-empty strings regardless of case, first spelling kept.
 
-    return F.aggregate(F.transform(values, squeeze), start, step, lambda acc: acc["kept"])
+    Sorted by folded value and place, the first of each run of equal values
+    stays: the cost is that of sorting, also for the words of a long text.
+    """
+    clean = F.filter(F.transform(values, squeeze), lambda v: v != "")
+    placed = F.sort_array(F.transform(clean, lambda v, i: F.struct(fold_case(v).alias("key"), i.alias("at"), v.alias("value"))))
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), placed["key"]), 1, F.size(placed))
+    pairs = F.arrays_zip(placed.alias("x"), before.alias("before"))
+    first = F.filter(pairs, lambda p: p["before"].isNull() | (p["before"] != p["x"]["key"]))
+    kept = F.sort_array(F.transform(first, lambda p: F.struct(p["x"]["at"].alias("at"), p["x"]["value"].alias("value"))))
+    return kept["value"]
 
 
 def truncate(text: Column, limit: int) -> Column:

@@ -116,7 +116,7 @@ def build_issue(
         read = left.withColumns(
             {
                 "content": F.col("excerpt"),
-                "content_status": content.content_status(F.coalesce("excerpt", F.lit(""))),
+                "content_status": content.content_status(F.coalesce("excerpt", F.lit("")), fixed.EVIDENCE_NEWS),
                 "resolved_url": F.col("url"),
             }
         )
@@ -128,7 +128,7 @@ def build_issue(
         full.withColumns(
             {
                 "paper_type": kind,
-                "evidence": evidence.paper_evidence(F.col("abstract"), F.col("full_text")),
+                "evidence": evidence.paper_evidence(F.col("abstract"), F.col("full_text"), fixed.EVIDENCE_ABSTRACT, fixed.EVIDENCE_FULL),
                 "evidence_scope": evidence.evidence_scope(abstract=F.coalesce("abstract", F.lit("")), full_text=F.coalesce("full_text", F.lit(""))),
             }
         )
@@ -147,7 +147,7 @@ def build_issue(
     no_text = F.when(F.size("evidence") == 0, "not_run_no_abstract_or_fulltext")
     done = done.withColumn("analysis_status", F.coalesce(no_text, "analysis_status"))
 
-    read = cut(read.withColumn("evidence", evidence.news_evidence(F.coalesce("content", F.lit("")), F.coalesce("excerpt", F.lit("")))))
+    read = cut(read.withColumn("evidence", evidence.news_evidence(F.coalesce("content", F.lit("")), F.coalesce("excerpt", F.lit("")), fixed.EVIDENCE_NEWS)))
     told = evidence.as_map(evidence.fallback_news(found, F.col("published_date")), fixed.NEWS_FIELDS)
     untold = evidence.as_map(evidence.no_content_news(F.col("published_date")), fixed.NEWS_FIELDS)
     empty = F.size("evidence") == 0

@@ -278,7 +278,7 @@ def _news_feed(source: str, url: str, excerpt: str, publisher: str, language: st
     )
 
 
-FALLBACK = f"WITH {RECORDS}, e AS (SELECT *, list_slice({sentences('body')}, 1, 24) AS ev, {KIND} AS kind FROM r)"
+FALLBACK = f"WITH {RECORDS}, e AS (SELECT *, {sentences('body')} AS ev, {KIND} AS kind FROM r)"
 _MISSING, _FULL = fixed.NOT_IN_EVIDENCE, fixed.READ_FULL_TEXT
 RESEARCH = [
     cut("ev[1]", 260),
@@ -295,7 +295,7 @@ REVIEW = [
     f"CASE WHEN len(ev) > 4 THEN {cut('ev[5]', 220)} ELSE '{fixed.READ_FULL_TEXT_FUTURE}' END",
 ]
 NEWS_FIVE = (
-    f"WITH {RECORDS}, e AS (SELECT *, list_slice({sentences('body')}, 1, 45) AS ev FROM r) SELECT doc_id, '{fixed.NEWS_NOT_REPORTED}' AS time_text, "
+    f"WITH {RECORDS}, e AS (SELECT *, {sentences('body')} AS ev FROM r) SELECT doc_id, '{fixed.NEWS_NOT_REPORTED}' AS time_text, "
     f"CASE WHEN len(ev) = 0 THEN '{fixed.NEWS_NO_LOCATION}' ELSE '{fixed.NEWS_NOT_IN_EVIDENCE}' END AS location_text, "
     f"CASE WHEN len(ev) = 0 THEN '{fixed.NEWS_NO_EVENT}' ELSE {cut('ev[1]', 260)} END AS event_text, "
     f"CASE WHEN len(ev) = 0 THEN '{fixed.NEWS_NO_IMPACT}' WHEN len(ev) > 1 THEN {cut('array_to_string(ev[2:3], chr(32))', 300)} ELSE '{fixed.NEWS_NOT_IN_EVIDENCE}' END AS impact_text, "
@@ -402,7 +402,7 @@ def oracle_sql() -> dict[str, str]:
             f"WITH a AS (SELECT page_id, url, {_plain(ARTICLE)} AS c, {squeeze(DECODED.format(x=PAGE_TITLE))} AS page_title FROM pages) "
             "SELECT page_id, 'article_or_main' AS method, CASE WHEN length(c) >= 1800 THEN 'full' WHEN length(c) >= 300 THEN 'partial' ELSE 'unavailable' END AS content_status, md5(c) AS content_md5, length(c) AS n_chars, page_title, url AS resolved_url FROM a"
         ),
-        "page_contexts": f"SELECT page_id, sha256(t) AS content_hash, length(t) AS n_chars FROM (SELECT page_id, left({VISIBLE}, 18000) AS t FROM pages) WHERE length(t) >= 200",
+        "page_contexts": f"SELECT page_id, sha256(t) AS content_hash, length(t) AS n_chars FROM (SELECT page_id, {VISIBLE} AS t FROM pages) WHERE length(t) >= 200",
         "page_links": (
             f"WITH a AS (SELECT page_id, regexp_extract_all(html, '{link_anchor}', 1) AS h, regexp_extract_all(html, '{link_anchor}', 2) AS t FROM pages), "
             f"b AS (SELECT page_id, unnest(range(len(h))) AS pos, unnest(h) AS h, {squeeze(DECODED.format(x='unnest(t)'))} AS link_title FROM a), "
@@ -419,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id::VARCHAR AS paper_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos, method, url FROM c WHERE k = 1"
         ),
         "best_turns": (
-            "WITH a AS (SELECT conv_id, turn, text, length(text) AS n, role = 'assistant' AND length(text) >= 100 AND turn > 0 AS ok FROM conversations WHERE turn <= 12), "
+            "WITH a AS (SELECT conv_id, turn, text, length(text) AS n, role = 'assistant' AND length(text) >= 100 AND turn > 0 AS ok FROM conversations), "
             "b AS (SELECT *, max(CASE WHEN ok OR turn = 0 THEN n END) OVER w AS best, coalesce(bool_or(ok) OVER w, false) AS got FROM a WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), "
             "c AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, turn) AS rn FROM b WHERE (ok OR turn = 0) AND NOT (got AND coalesce(best, 0) >= 400)) SELECT conv_id, turn, md5(text) AS text_md5 FROM c WHERE rn = 1"
         ),
@@ -430,11 +430,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "boilerplate_removed": f"WITH a AS (SELECT doc_id, {_plain('CASE WHEN doc_id % 4 = 0 THEN chr(86) || chr(105) || chr(101) || chr(119) || ' + repr(' full coverage - ') + ' || text || ' + repr(', by Google News.') + ' ELSE text END')} AS t FROM documents) SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM a",
         "strip_tags_pages": f"WITH a AS (SELECT page_id, {squeeze(DECODED.format(x=STRIPPED))} AS t FROM pages) SELECT page_id, md5(t) AS text_md5, length(t) AS n_chars FROM a",
-        "evidence_sentences": f"WITH {RECORDS}, e AS (SELECT doc_id, list_slice({sentences('body')}, 1, 24) AS s FROM r), x AS (SELECT doc_id, unnest(range(1, len(s) + 1)) AS pos, unnest(s) AS text FROM e) SELECT doc_id, pos, 'A' || pos AS evidence_id, text FROM x",
+        "evidence_sentences": f"WITH {RECORDS}, e AS (SELECT doc_id, {sentences('body')} AS s FROM r), x AS (SELECT doc_id, unnest(range(1, len(s) + 1)) AS pos, unnest(s) AS text FROM e) SELECT doc_id, pos, 'A' || pos AS evidence_id, text FROM x",
         "fallback_five": f"{FALLBACK} SELECT doc_id, kind, " + ", ".join(f"CASE WHEN kind = 'review' THEN {v} ELSE {r} END AS e{i}" for i, (r, v) in enumerate(zip(RESEARCH, REVIEW), 1)) + " FROM e WHERE len(ev) > 0",
         "fallback_news_five": NEWS_FIVE,
         "five_field_summaries": _summary(),
-        "task_payloads": f"WITH {RECORDS}, e AS (SELECT *, list_slice({sentences('body')}, 1, 24) AS s FROM r) SELECT doc_id::VARCHAR AS paper_id, title, CASE WHEN body <> '' THEN 'abstract_only' ELSE 'metadata_only' END AS evidence_scope, len(s) AS n_evidence, coalesce(s[1], '') AS first_text FROM e",
+        "task_payloads": f"WITH {RECORDS}, e AS (SELECT *, {sentences('body')} AS s FROM r) SELECT doc_id::VARCHAR AS paper_id, title, CASE WHEN body <> '' THEN 'abstract_only' ELSE 'metadata_only' END AS evidence_scope, len(s) AS n_evidence, coalesce(s[1], '') AS first_text FROM e",
         "numbers_and_dois": f"WITH a AS (SELECT doc_id, {WHOLE} AS w FROM documents) SELECT doc_id, array_to_string({_numbers('w')}, '|') AS numbers, CASE WHEN doc_id % 7 = 0 THEN '10.1234/ab.' || doc_id ELSE 'none' END AS doi FROM a",
         "number_preservation": NUMBERS_KEPT,
         "first_valid_answer": (
@@ -451,7 +451,7 @@ def oracle_sql() -> dict[str, str]:
         "glossary_protect": f"WITH {RECORDS}, a AS (SELECT doc_id, {_glossary('body')} AS p FROM r) SELECT doc_id, md5(p) AS protected_md5, md5({_restored('upper(replace(p, chr(223), chr(83) || chr(83)))')}) AS restored_md5 FROM a",
         "glossary_repair": (
             f"WITH {RECORDS}, a AS (SELECT doc_id, '汉坦病毒 , ' || title || ' ; 汉坦病毒 。' AS x FROM r), "
-            "b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(x, 'the', '该', 'gi'), 'of the', '的该', 'gi'), 'pour', '为了', 'gi') AS x FROM a), "
+            "b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, 'the', '该', 'gi'), 'of the', '的该', 'gi'), 'pour', '为了', 'gi'), 'nicht', '不$1', 'gi'), 'para la', '为此', 'gi') AS x FROM a), "
             f"c AS (SELECT doc_id, replace(replace(replace(replace(replace(x, ' ,', '，'), ',', '，'), ' ;', '；'), ';', '；'), ' :', '：') AS x FROM b) SELECT doc_id, {squeeze(chr(39).join(['regexp_replace(x, ', chr(92) + 's+([。！？；，])', ', ', chr(92) + '1', ', ', 'g', ')']))} AS repaired FROM c"
         ),
         "memory_routes": (
@@ -469,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "inverted_index_rebuild": f"WITH a AS (SELECT doc_id, {squeeze('text')} AS t FROM documents) SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM a",
         "ordered_distinct": (
-            f"WITH {RECORDS}, a AS (SELECT doc_id, string_split(title, ' ') AS w FROM r), b AS (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS w FROM a), "
+            f"WITH {RECORDS}, a AS (SELECT doc_id, list_transform(string_split(text, ' '), lambda v: {squeeze('v')}) AS w FROM r), b AS (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS w FROM a), "
             "c AS (SELECT doc_id, min(p) AS p, arg_min(w, p) AS w FROM b WHERE w <> '' GROUP BY doc_id, replace(lower(w), 'ß', 'ss')), d AS (SELECT doc_id, string_agg(w, '|' ORDER BY p) AS words FROM c GROUP BY doc_id) SELECT r.doc_id, coalesce(words, '') AS words FROM r LEFT JOIN d USING (doc_id)"
         ),
         "cjk_share": f"WITH {RECORDS}, a AS (SELECT doc_id, title || repeat('汉坦病毒', doc_id % 7) AS v FROM r) SELECT doc_id, len(regexp_extract_all(v, '[一-鿿]')) AS n_cjk, {_chinese('v')} AS is_chinese FROM a",
@@ -500,7 +500,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT lang AS profile_id, 'paper' AS kind, a AS rank, title, pl AS link, '' AS summary FROM x WHERE a <= 10 UNION ALL SELECT lang, 'news', b, title, nl, '' FROM x WHERE b <= 10"
         ),
         "dictionary_split": (
-            f"WITH {RECORDS}, a AS (SELECT doc_id, list_concat(list_slice(string_split(lower(title), ' '), 1, 6), list_slice(string_split(lower(title), ' '), 4, 7)) AS w FROM r), "
+            f"WITH {RECORDS}, a AS (SELECT doc_id, list_concat(string_split(lower(title), ' '), string_split(lower(title), ' ')[4:]) AS w FROM r), "
             "b AS (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS w FROM a), c AS (SELECT doc_id, min(p) AS p, arg_min(w, p) AS w FROM b WHERE w <> '' GROUP BY doc_id, replace(w, 'ß', 'ss')), "
             "d AS (SELECT doc_id, list(w ORDER BY p) AS w FROM c GROUP BY doc_id), e AS (SELECT r.doc_id, CASE WHEN r.doc_id % 2 = 0 THEN '汉坦' || r.doc_id ELSE '' END AS zh, CASE WHEN w IS NULL AND r.doc_id % 2 <> 0 THEN ['d' || r.doc_id] ELSE coalesce(w, []) END AS w FROM r LEFT JOIN d USING (doc_id)) "
             "SELECT 'd' || doc_id AS profile_id, array_to_string(w, '|') AS english_terms, zh AS chinese_terms, array_to_string(w[1:5], '|') AS clinical_terms FROM e"
@@ -509,17 +509,17 @@ def oracle_sql() -> dict[str, str]:
         "europe_pmc_feed": _feed("'10.1/e' || doc_id", "title", "body", "'B A|' || lang", "source", FEED_DATE, "'https://europepmc.org/article/MED/' || doc_id"),
         "crossref_feed": _feed("'10.1/c' || doc_id", "title", "body", "'Ada ' || lang", "source", FEED_DATE, "'https://doi.org/10.1/C' || doc_id"),
         "semantic_scholar_feed": _feed("'10.1/s' || doc_id", "title", "body", "lang", "source", FEED_DATE, "'https://s.example/' || doc_id"),
-        "openalex_feed": _feed("'10.1/o' || doc_id", "title", "title", "lang", "source", FEED_DATE, "'https://o.example/W' || doc_id", "title <> ''"),
+        "openalex_feed": _feed("'10.1/o' || doc_id", "title", "body", "lang", "source", FEED_DATE, "'https://o.example/W' || doc_id"),
         "preprint_feed": _feed("'10.1/p' || doc_id", "title", "body", "'A|B|' || lang", "'biorxiv'", FEED_DATE, "'https://www.biorxiv.org/content/10.1/p' || doc_id || 'v2'"),
         "pubmed_feed": _feed("'10.1/m' || doc_id", "trim('A b ' || title)", "trim('AIM: xy ' || body)", "'Ada ' || lang || '|Team'", "source", "'2024-' || lpad((doc_id % 12 + 1)::VARCHAR, 2, '0') || '-05'", "'https://pubmed.ncbi.nlm.nih.gov/' || doc_id || '/'"),
         "rss_feed": _news_feed("rss", "https://n.example/", "body", "source", "'en'"),
         "gdelt_feed": _news_feed("GDELT DOC 2.0", "https://g.example/", "''", "source", "lang"),
-        "reliefweb_feed": _news_feed("ReliefWeb", "https://r.example/", "left(body, 1500)", "source || ', ' || lang", "'en'"),
+        "reliefweb_feed": _news_feed("ReliefWeb", "https://r.example/", "body", "source || ', ' || lang", "'en'"),
         "section_buckets": (
             f"WITH {RECORDS}, a AS (SELECT doc_id, 'abstract' AS bucket, title AS t FROM r UNION ALL SELECT doc_id, 'methods', {squeeze('concat(chr(83), ' + repr('tudy design') + ', body)')} FROM r UNION ALL SELECT doc_id, 'results', 'Main findings' || title FROM r UNION ALL SELECT doc_id, 'other', 'Notes' || lang FROM r) "
             "SELECT doc_id, bucket, md5(t) AS text_md5 FROM a WHERE t <> ''"
         ),
-        "passage_texts": f"WITH {RECORDS}, a AS (SELECT doc_id, array_to_string(list_slice({sentences('body')}, 1, 24), ' ') AS t FROM r) SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM a",
+        "passage_texts": f"WITH {RECORDS}, a AS (SELECT doc_id, array_to_string({sentences('body')}, ' ') AS t FROM r) SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM a",
         "linked_data_pages": (
             f"WITH {RECORDS}, a AS (SELECT doc_id, title, body, CASE WHEN doc_id % 3 = 0 THEN CASE WHEN length(body) > 1 THEN body ELSE 'x' END WHEN doc_id % 3 = 1 THEN 'about ' || doc_id ELSE title END AS c FROM r), b AS (SELECT *, {_plain('c')} AS p FROM a) "
             "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CASE WHEN length(body) > 1 THEN 'jsonld_articleBody' ELSE 'article_or_main' END WHEN doc_id % 3 = 1 THEN 'meta_description' WHEN title = '' THEN 'none' ELSE 'article_or_main' END AS method, md5(p) AS content_md5, "

@@ -486,7 +486,7 @@ def paper_candidates(spark, sf):
 
 def best_turns(spark, sf):
     """The best accepted answer of each conversation as chosen content."""
-    rows = table(spark, sf, "conversations").where(F.col("turn") <= fixed.MAX_CANDIDATES)
+    rows = table(spark, sf, "conversations")
     candidates = rows.select(
         F.col("conv_id").alias("work_id"),
         F.col("turn").cast("int").alias("pos"),
@@ -535,7 +535,7 @@ def strip_tags_pages(spark, sf):
 
 
 def evidence_sentences(spark, sf):
-    found = evidence.evidence_list(F.col("body"), "A", fixed.EVIDENCE_ABSTRACT)
+    found = evidence.evidence_list(F.col("body"), "A")
     out = evidence.evidence_table(records(spark, sf), "doc_id", found)
     return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "evidence_id", "text")
 
@@ -544,7 +544,7 @@ def fallback_five(spark, sf):
     rows = records(spark, sf).select(
         "doc_id",
         evidence.paper_type(F.array("lang"), F.col("title"), F.col("body"), TYPE_WORDS).alias("kind"),
-        evidence.evidence_list(F.col("body"), "A", fixed.EVIDENCE_ABSTRACT).alias("ev"),
+        evidence.evidence_list(F.col("body"), "A").alias("ev"),
     ).where(F.size("ev") > 0)
     research, reviews = evidence.fallback_research(F.col("ev")), evidence.fallback_review(F.col("ev"))
     is_review = F.col("kind") == "review"
@@ -554,7 +554,7 @@ def fallback_five(spark, sf):
 
 
 def fallback_news_five(spark, sf):
-    rows = records(spark, sf).select("doc_id", evidence.evidence_list(F.col("body"), "N", fixed.EVIDENCE_NEWS).alias("ev"))
+    rows = records(spark, sf).select("doc_id", evidence.evidence_list(F.col("body"), "N").alias("ev"))
     none = F.lit(None).cast("string")
     told, empty = evidence.fallback_news(F.col("ev"), none), evidence.no_content_news(none)
     bare = F.size("ev") == 0
@@ -563,7 +563,7 @@ def fallback_news_five(spark, sf):
 
 
 def five_field_summaries(spark, sf):
-    rows = records(spark, sf).select("doc_id", evidence.evidence_list(F.col("body"), "A", 24).alias("ev")).where(F.size("ev") > 0)
+    rows = records(spark, sf).select("doc_id", evidence.evidence_list(F.col("body"), "A").alias("ev")).where(F.size("ev") > 0)
     told = evidence.fallback_research(F.col("ev"))
     fields = F.array(*[told[f] for f in fixed.RESEARCH_FIELDS])
     labels = F.array(*[F.lit(v) for v in fixed.RESEARCH_LABELS])
@@ -682,7 +682,7 @@ def glossary_protect(spark, sf):
 
 def glossary_repair(spark, sf):
     rows = records(spark, sf)
-    fixed_text = translation.repair(F.concat(F.lit("宋病毒 , "), "title", F.lit(" ; 汉塔病毒 。")), GLOSSARY[:3])
+    fixed_text = translation.repair(F.concat(F.lit("宋病毒 , "), "title", F.lit(" ; 汉塔病毒 。")), GLOSSARY)
     return rows.select("doc_id", fixed_text.alias("repaired"))
 
 
@@ -738,7 +738,7 @@ def inverted_index_rebuild(spark, sf):
 
 
 def ordered_distinct(spark, sf):
-    kept = text.unique_strings(F.split(F.col("title"), " "))
+    kept = text.unique_strings(F.split(F.col("text"), " "))
     return records(spark, sf).select("doc_id", F.array_join(kept, "|").alias("words"))
 
 
@@ -850,12 +850,12 @@ def feed_selection(spark, sf):
 
 
 def dictionary_split(spark, sf):
-    """Seed rows per document source: title words as terms, some in Chinese."""
+    """Seed rows per document: all title words as terms, those from the fourth on as names too, some in Chinese."""
     words = F.split(F.lower("title"), " ")
     docs = records(spark, sf).select(
         F.concat(F.lit("d"), "doc_id").alias("profile_id"),
-        F.slice(words, 1, 6).alias("seed_terms"),
-        F.slice(words, 4, 4).alias("virus_names"),
+        words.alias("seed_terms"),
+        F.slice(words, 4, F.greatest(F.size(words), F.lit(1))).alias("virus_names"),
         F.lit(None).cast("array<string>").alias("disease_names_en"),
         F.when(F.col("doc_id") % 2 == 0, F.array(F.concat(F.lit("汉坦"), "doc_id"))).alias("disease_names_zh"),
         F.lit(None).cast("string").alias("display_name_en"),
@@ -944,9 +944,9 @@ def semantic_scholar_feed(spark, sf):
 
 
 def openalex_feed(spark, sf):
-    """The abstract travels as a word index built from the title's words."""
-    placed = records(spark, sf).where(F.col("title") != "").select("doc_id", F.posexplode(F.split("title", " ")).alias("pos", "word"))
-    docs = _payload_docs(spark, sf).drop("body").join(_word_index(placed), "doc_id")
+    """The abstract travels as a word index built from the body's words."""
+    placed = records(spark, sf).where(F.col("body") != "").select("doc_id", F.posexplode(F.split("body", " ")).alias("pos", "word"))
+    docs = _payload_docs(spark, sf).drop("body").join(_word_index(placed), "doc_id", "left")
     index = F.col("idx")
     item = F.struct(
         F.concat(F.lit("https://o.example/W"), "id").alias("id"), F.struct(F.concat(F.lit("https://doi.org/10.1/O"), "id").alias("doi")).alias("ids"),
@@ -1032,7 +1032,7 @@ def section_buckets(spark, sf):
 
 
 def passage_texts(spark, sf):
-    passages = F.transform(evidence.evidence_list(F.col("body"), "A", 24), lambda e: F.struct(e["text"].alias("text")))
+    passages = F.transform(evidence.evidence_list(F.col("body"), "A"), lambda e: F.struct(e["text"].alias("text")))
     rows = _payload_docs(spark, sf).select("doc_id", _json(F.struct(F.array(F.struct(passages.alias("passages"))).alias("documents"))).alias("p"))
     joined = content.passages_text(F.col("p"))
     return rows.select("doc_id", F.md5(joined).alias("text_md5"), F.char_length(joined).cast("bigint").alias("n_chars"))

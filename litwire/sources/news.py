@@ -57,7 +57,9 @@ def gdelt_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def reliefweb_rows(rows: DataFrame) -> DataFrame:
+def reliefweb_rows(rows: DataFrame, most_chars: int | None = None) -> DataFrame:
+    """``most_chars`` cuts the excerpt; without it, the whole body is kept."""
+    body = strip_tags(F.col("r.body"))
     r = rows.select(F.explode("data.fields").alias("r"))
     return conform(
         r.select(
@@ -65,7 +67,7 @@ def reliefweb_rows(rows: DataFrame) -> DataFrame:
             clean_space(F.col("r.title")).alias("title"),
             clean_space(F.col("r.url")).alias("url"),
             parse_date(F.col("r.date.created")).alias("published_date"),
-            F.left(strip_tags(F.col("r.body")), F.lit(1500)).alias("excerpt"),
+            (body if most_chars is None else F.left(body, F.lit(most_chars))).alias("excerpt"),
             F.array_join(clean_array(F.transform("r.source", lambda s: s["name"])), ", ").alias("publisher"),
             F.lit("en").alias("language"),
         ),
