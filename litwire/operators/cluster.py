@@ -7,10 +7,17 @@ Fineman and Shun, SPAA 2012): decide an early part of the order, match all later
 records against its leaders only, drop the matched ones, go on with the rest.
 A large group of near copies thus costs one comparison per copy, and its pairs
 are never listed.
+
+With authors, a leader that has none takes that of its first follower with one,
+and later records are judged by it. Who follows whom then depends on what was
+adopted, and the reverse: both are computed in turn until nothing changes. What
+is decided about a record depends on earlier records only, so there is one such
+state, that of the loop over the records in order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -32,10 +39,32 @@ def same_author(a: str = "author_a", b: str = "author_b"):
 
 
 def _edges(titles: DataFrame, threshold: int, stats: GramStats, right: DataFrame | None = None) -> DataFrame:
+    """a, b of like titles; with authors also theirs, and whether these allow the pair as long as ``a`` adopts none."""
     pairs = similar_pairs(titles, threshold, right=right, stats=stats)
-    if "author" in titles.columns:
-        pairs = pairs.where(same_author())
-    return pairs.select("a", "b")
+    if "author" not in titles.columns:
+        return pairs.select("a", "b")
+    return pairs.select("a", "b", "author_a", "author_b", same_author().alias("alike"))
+
+
+def _settle(edges: DataFrame, decide: Callable[[DataFrame], DataFrame], adopted: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """(b, leader) of the followers by ``decide``, and the authors (a, adopted, since) that leaders without one have by then."""
+    if "author_a" not in edges.columns:
+        return decide(edges), None
+    known = adopted if adopted is not None else edges.sparkSession.createDataFrame([], "a long, adopted string, since long")
+    before = known
+    while True:
+        placed = edges.join(known, "a", "left")
+        later = (F.col("author_a") == "") & (F.col("author_b") != "") & (F.col("since") < F.col("b"))
+        fits = F.when(later, indel_ratio(F.col("adopted"), F.col("author_b")) >= fixed.AUTHOR_RATIO).otherwise(F.col("alike"))
+        led = cut(decide(cut(placed.where(fits).select("a", "b"))))
+        named = edges.where((F.col("author_a") == "") & (F.col("author_b") != ""))
+        first = led.withColumnRenamed("leader", "a").join(named, ["a", "b"]).groupBy("a").agg(F.min_by("author_b", "b").alias("adopted"), F.min("b").alias("since"))
+        # What was adopted from earlier records stays.
+        now = cut(before.unionByName(first).groupBy("a").agg(F.min_by("adopted", "since").alias("adopted"), F.min("since").alias("since")))
+        changed = now.exceptAll(known).union(known.exceptAll(now))
+        if changed.isEmpty():
+            return led, now
+        known = now
 
 
 def resolve_leaders(edges: DataFrame) -> DataFrame:
@@ -86,21 +115,26 @@ def leader_clusters(titles: DataFrame, threshold: int, budget: int | None = None
     budget = budget or PAIRS_PER_CORE * spark.sparkContext.defaultParallelism
     everything = cut(titles)
     stats = gram_stats(everything, threshold)
-    rest, found = everything, []
+    rest, found, adopted = everything, [], None
     while True:
         left = rest.count()
         stop = None if left <= small else _prefix_cut(rest, threshold, stats, budget)
         batch = rest if stop is None else rest.where(F.col("ord") <= stop)
         edges = cut(_edges(batch, threshold, stats))
         if not edges.isEmpty():
-            found.append(resolve_leaders(edges).select(F.col("b").alias("ord"), "leader"))
+            led, own = _settle(edges, resolve_leaders, None)
+            found.append(led.select(F.col("b").alias("ord"), "leader"))
+            adopted = own if adopted is None else cut(adopted.unionByName(own))
         if stop is None:
             break
         later = rest.where(F.col("ord") > stop)
         leaders = batch if edges.isEmpty() else batch.join(found[-1].select("ord"), "ord", "left_anti")
         # Grams of a leader are joined with later titles only, and the partial
         # minimum keeps one row per matched title.
-        matched = cut(_edges(leaders, threshold, stats, right=later).groupBy("b").agg(F.min("a").alias("leader")))
+        ahead = _edges(leaders, threshold, stats, right=later)
+        ahead = cut(ahead) if "author" in titles.columns else ahead
+        matched, own = _settle(ahead, lambda live: live.groupBy("b").agg(F.min("a").alias("leader")), adopted)
+        matched, adopted = cut(matched), own
         found.append(matched.select(F.col("b").alias("ord"), "leader"))
         rest = cut(later.join(matched.select(F.col("b").alias("ord")), "ord", "left_anti"))
     ids = everything.select("ord")

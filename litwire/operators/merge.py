@@ -169,14 +169,18 @@ def dedup_papers(papers: DataFrame, threshold: int = fixed.PAPER_TITLE_RATIO, bl
     """Identity groups, conflict split, title clustering and merge."""
     grouped = cut(with_group(papers, block))
     scope = F.col(block) if block else F.lit(0)
+    names = F.filter(F.transform(F.coalesce("authors", F.array().cast("array<string>")), squeeze), lambda a: a != "")
+    # The merged record's first author: that of the first record in the group that names one.
+    lead = F.min_by("_lead", F.when(F.col("_lead").isNotNull(), F.col("ord")))
     items = cut(
-        grouped.withColumn("_b", scope)
+        grouped.withColumns({"_b": scope, "_lead": F.get(names, F.lit(0))})
         .groupBy("group_key")
         .agg(
             F.min("ord").alias("group_ord"),
             F.min_by(F.struct(F.col("_b").alias("block"), "norm", "author"), "ord").alias("t"),
+            F.when(F.count("*") > 1, F.coalesce(normalize_title(lead), F.lit(""))).alias("merged_author"),
         )
-        .select("group_key", "group_ord", "t.*")
+        .select("group_key", "group_ord", "t.block", "t.norm", F.coalesce("merged_author", "t.author").alias("author"))
         .withColumn("title_key", F.sha2(F.concat_ws("|", F.col("block").cast("string"), "norm", "author"), 256))
     )
     titles = items.groupBy("title_key", "block", "norm", "author").agg(

@@ -344,6 +344,25 @@ BAND = (
 )
 
 
+# Records by title and language; then one at a time, each joining its first leader of like title and the same language
+# (where both are known). A leader without language takes that of its first follower with one.
+PAPERS = (
+    f"WITH RECURSIVE {RECORDS}, p AS (SELECT doc_id, title, body, {norm('title')} AS n, coalesce({norm('lang')}, '') AS author FROM r WHERE title <> ''), "
+    "i AS (SELECT *, min(doc_id) OVER (PARTITION BY n, author, CASE WHEN n = '' THEN doc_id END) AS g FROM p), "
+    "t AS (SELECT min(g) AS ord, n AS norm, author FROM i GROUP BY n, author), "
+    + scored("SELECT a.ord AS x, b.ord AS y, a.norm AS nx, b.norm AS ny, a.author AS ax, b.author AS ay FROM t a JOIN t b ON a.ord < b.ord AND a.norm <> ''", 94)
+    + ", adj AS (SELECT y, any_value(ay) AS ay, list({'x': x, 'ax': ax} ORDER BY x) AS xs, row_number() OVER (ORDER BY y) AS i FROM pairs GROUP BY y), "
+    "walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS lost, []::BIGINT[] AS led, []::STRUCT(o BIGINT, a VARCHAR)[] AS took UNION ALL "
+    "SELECT i, CASE WHEN c IS NULL THEN lost ELSE list_append(lost, y) END, CASE WHEN c IS NULL THEN led ELSE list_append(led, c.x) END, "
+    "CASE WHEN c IS NOT NULL AND c.ax = '' AND ay <> '' AND NOT list_contains([d.o FOR d IN took], c.x) THEN list_append(took, {'o': c.x, 'a': ay}) ELSE took END FROM ("
+    "SELECT w.i + 1 AS i, lost, led, took, y, ay, list_filter(a.xs, lambda z: NOT list_contains(lost, z.x) AND (ay = '' OR z.ax = ay OR (z.ax = '' AND "
+    "coalesce([d.a FOR d IN took IF d.o = z.x][1], ay) = ay)))[1] AS c FROM walk w JOIN adj a ON a.i = w.i + 1)), "
+    "done AS (SELECT lost, led FROM walk ORDER BY i DESC LIMIT 1), follow AS (SELECT unnest(lost) AS ord, unnest(led) AS leader FROM done), "
+    "placed AS (SELECT i.*, coalesce(f.leader, t.ord) AS leader FROM i JOIN t ON t.norm = i.n AND t.author = i.author LEFT JOIN follow f ON f.ord = t.ord) "
+    "SELECT leader AS head_doc, arg_min(title, doc_id) AS title, md5(first(body ORDER BY length(body) DESC, g, doc_id)) AS abstract_md5, count(*) AS n_records FROM placed GROUP BY leader"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     link_anchor = r"(?i)href=\"([^\"]+)\"[^>]*>([^<]{1,180})</a>".replace('\\"', '"')
     terms = "[" + ", ".join(f"'{t}'" for t in q.LINK_TERMS) + "]"
@@ -390,6 +409,7 @@ def oracle_sql() -> dict[str, str]:
             f"WITH RECURSIVE {TITLES}, {scored(TITLE_PAIRS, 84)}, {LEADERS} SELECT l.leader AS head_doc, r.doc_id, r.source, 'https://x.example/' || r.doc_id AS url, r.lang AS publisher "
             f"FROM r JOIN lead l ON l.norm = {norm('r.title')} WHERE r.doc_id <> l.leader"
         ),
+        "paper_dedup": PAPERS,
         "conflict_split": CONFLICTS,
         "link_pages_to_docs": LINK + "SELECT page_id, is_event, CASE WHEN y IS NOT NULL AND NOT is_event THEN y::VARCHAR ELSE 'none' END AS paper_id, CASE WHEN NOT is_event THEN coalesce(score / 100, 0.0) ELSE 0.0 END AS link_score FROM linked",
         "mentions_per_doc": LINK + "SELECT y::VARCHAR AS paper_id, count(*) AS n_mentions, min(page_id) AS first_page FROM linked WHERE y IS NOT NULL AND NOT is_event GROUP BY y",
