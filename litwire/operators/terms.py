@@ -26,7 +26,7 @@ FIELD_BITS = 1 << 25
 #: Texts that the choice of grams looks at. They decide speed, never results.
 LOOKED_AT = 500
 #: Stands between two texts of a record; no term crosses it.
-BREAK = ""
+BREAK = "\ue000"
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 TEXT_KEY = ["_t1", "_t2"]

@@ -24,7 +24,7 @@ def ordered_glossary(rows: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
     """Non-empty entries, longest source first; equals keep their order."""
     kept = [(" ".join(s.split()), " ".join(t.split())) for s, t in rows if s and t]
     if len(kept) > MAX_GLOSSARY:
-        raise ValueError(f"a glossary has at most {MAX_GLOSSARY} entries per profile")
+        raise ValueError(f"more than {MAX_GLOSSARY} entries do not go into a plan: keep them in a table (operators/glossary.py)")
     return sorted((e for e in kept if e[0] and e[1]), key=lambda e: -len(e[0]))
 
 

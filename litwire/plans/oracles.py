@@ -344,6 +344,23 @@ BAND = (
 )
 
 
+TERM_TABLE = (
+    "g AS (SELECT DISTINCT 'even' AS p, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS s FROM benchmark UNION SELECT DISTINCT 'odd', unnest(regexp_extract_all(lower(text), '[a-z]{12,}')) FROM conversations), "
+    "h AS (SELECT *, CAST('0x' || substr(md5(s), 1, 12) AS BIGINT) AS pos FROM g), "
+    "e AS (SELECT *, '词' || pos AS t, '[T' || right('000' || n, greatest(4, length(n::VARCHAR))) || ']' AS tok FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY length(s) DESC, pos) - 1 AS n FROM h)), "
+    "d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS p, text, title FROM r)"
+)
+BY_PROFILE = (
+    f"WITH {RECORDS}, {TERM_TABLE}, m AS (SELECT doc_id, list([s, tok, t] ORDER BY length(s) DESC, pos) AS l FROM d JOIN e ON d.p = e.p AND contains(lower(text), s) GROUP BY doc_id), "
+    "x AS (SELECT d.doc_id, d.p, coalesce(l, []) AS l, list_reduce(list_prepend([text], coalesce(l, [])), lambda a, q: [regexp_replace(a[1], '(?i)' || q[1], q[2], 'g')])[1] AS hidden FROM d LEFT JOIN m USING (doc_id)) "
+    "SELECT doc_id, p AS profile_id, len(l) AS n_terms, md5(hidden) AS protected_md5, md5(list_reduce(list_prepend([hidden], l), lambda a, q: [replace(replace(a[1], q[2], q[3]), lower(q[2]), q[3])])[1]) AS restored_md5 FROM x"
+)
+REPAIRED_BY_PROFILE = (
+    f"WITH {RECORDS}, {TERM_TABLE}, m AS (SELECT doc_id, list([s, t] ORDER BY pos) AS l FROM d JOIN e ON d.p = e.p AND contains(lower(title), s) GROUP BY doc_id), "
+    "x AS (SELECT doc_id, list_reduce(list_prepend(['汉坦病毒 , ' || title || ' ; 汉坦病毒 。'], coalesce(l, [])), lambda a, q: [regexp_replace(a[1], '(?i)' || q[1], q[2], 'g')])[1] AS x FROM d LEFT JOIN m USING (doc_id)), "
+    f"c AS (SELECT doc_id, replace(replace(replace(replace(replace(x, ' ,', '，'), ',', '，'), ' ;', '；'), ';', '；'), ' :', '：') AS x FROM x) SELECT doc_id, {squeeze(chr(39).join(['regexp_replace(x, ', chr(92) + 's+([。！？；，])', ', ', chr(92) + '1', ', ', 'g', ')']))} AS repaired FROM c"
+)
+
 # Records by title and language; then one at a time, each joining its first leader of like title and the same language
 # (where both are known). A leader without language takes that of its first follower with one.
 PAPERS = (
@@ -474,6 +491,8 @@ def oracle_sql() -> dict[str, str]:
             "b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, 'the', '该', 'gi'), 'of the', '的该', 'gi'), 'pour', '为了', 'gi'), 'nicht', '不$1', 'gi'), 'para la', '为此', 'gi') AS x FROM a), "
             f"c AS (SELECT doc_id, replace(replace(replace(replace(replace(x, ' ,', '，'), ',', '，'), ' ;', '；'), ';', '；'), ' :', '：') AS x FROM b) SELECT doc_id, {squeeze(chr(39).join(['regexp_replace(x, ', chr(92) + 's+([。！？；，])', ', ', chr(92) + '1', ', ', 'g', ')']))} AS repaired FROM c"
         ),
+        "glossary_by_profile": BY_PROFILE,
+        "glossary_repair_by_profile": REPAIRED_BY_PROFILE,
         "memory_routes": (
             f"WITH {RECORDS}, {MEMORY}, f AS (SELECT doc_id, CASE WHEN doc_id % 10 = 9 THEN repeat('汉坦病毒', 8) WHEN doc_id % 10 = 8 THEN '' ELSE title END AS src FROM r) "
             f"SELECT doc_id, 'title' AS field, CASE WHEN src = '' THEN 'empty_source' WHEN {_chinese('src')} THEN 'source_already_chinese' WHEN m.key IS NOT NULL THEN 'from_memory' ELSE 'unresolved' END AS route FROM f LEFT JOIN m ON m.key = {_memory_key(repr('title'), 'src')}"

@@ -15,6 +15,7 @@ from litwire.operators import (
     attempts,
     content,
     evidence,
+    glossary,
     identity,
     link,
     merge,
@@ -686,6 +687,36 @@ def glossary_repair(spark, sf):
     return rows.select("doc_id", fixed_text.alias("repaired"))
 
 
+def _glossary_table(spark, sf) -> DataFrame:
+    """Two glossaries that grow with the data: long words of the benchmark texts for one profile, of turns for the other."""
+
+    def words(name: str, profile: str, least: int) -> DataFrame:
+        found = F.regexp_extract_all(F.lower("text"), F.lit(f"[a-z]{{{least},}}"), 0)
+        return table(spark, sf, name).select(F.lit(profile).alias("profile_id"), F.explode(found).alias("source"))
+
+    pos = F.conv(F.substring(F.md5("source"), 1, 12), 16, 10).cast("long")
+    return words("benchmark", "even", 6).union(words("conversations", "odd", 12)).distinct().withColumns({"pos": pos, "target": F.concat(F.lit("词"), pos.cast("string"))})
+
+
+def _profiled(spark, sf) -> DataFrame:
+    return records(spark, sf).select("doc_id", "title", "text", F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd").alias("profile_id"))
+
+
+def glossary_by_profile(spark, sf):
+    """Whole texts with the terms of their profile's glossary hidden, and with targets in their place."""
+    found = glossary.with_terms(_profiled(spark, sf), glossary.glossary_entries(_glossary_table(spark, sf)), "text")
+    hidden = found.select("doc_id", "profile_id", "terms", glossary.protect_terms(F.col("text"), F.col("terms")).alias("hidden"))
+    back = glossary.restore_terms(F.col("hidden"), F.col("terms"))
+    return hidden.select("doc_id", "profile_id", F.size("terms").cast("long").alias("n_terms"), F.md5("hidden").alias("protected_md5"), F.md5(back).alias("restored_md5"))
+
+
+def glossary_repair_by_profile(spark, sf):
+    entries = glossary.glossary_entries(_glossary_table(spark, sf))
+    mixed = F.concat(F.lit("宋病毒 , "), "title", F.lit(" ; 汉塔病毒 。")).alias("answer")
+    rows = _profiled(spark, sf).select("doc_id", "profile_id", mixed)
+    return glossary.repair_terms(rows, entries, "answer").select("doc_id", "repaired")
+
+
 def _memory(spark, sf) -> DataFrame:
     rows = records(spark, sf).where(F.col("doc_id") % 3 == 0)
     key = translation.memory_key(F.lit("title"), F.col("title"), GLOSSARY)
@@ -1122,6 +1153,8 @@ ALL: list[Query] = [
     json_recovery,
     glossary_protect,
     glossary_repair,
+    glossary_by_profile,
+    glossary_repair_by_profile,
     memory_routes,
     field_resolution,
     record_translations,
