@@ -170,7 +170,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     come after the others; equal rows lose equal lines. An empty table gives
     an empty table.
     """
-    gone = dropped_lines(line_hashes(docs, id_col, text_col, min_chars))
+    # Lines are split and hashed once: counting and probing both read the written hashes.
+    gone = dropped_lines(cut(line_hashes(docs, id_col, text_col, min_chars)))
     order = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
     rows = docs.select(packed(docs).alias("_row"), order.alias("_o"), F.xxhash64(f"`{text_col}`").alias("_t"))
     rows = rows.join(gone, ["_o", "_t"], "left")
