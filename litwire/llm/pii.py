@@ -12,6 +12,7 @@ pattern table has a fixed number of rows, so both run on the driver.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,7 @@ NEAR_WORDS = {
 LABELERS = ("regex", "gazetteer", "context")
 LENGTHS = 4
 ROUNDS, STEPS = 60, 400
+BLOCK = 256
 
 
 def found_spans(text: Column, pattern: str) -> tuple[Column, Column]:
@@ -48,18 +50,29 @@ def found_spans(text: Column, pattern: str) -> tuple[Column, Column]:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
 
-def spans(matches: Column, pieces: Column) -> Column:
-    """array<struct<start, end, value, before>> in code points, end exclusive."""
-    step = F.transform(matches, lambda m, i: F.struct(F.char_length(F.get(pieces, i)).alias("gap"), F.char_length(m).alias("len"), m.alias("value"), F.right(F.get(pieces, i), F.lit(BEFORE)).alias("before")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string,before:string>>").alias("out"))
+def spans(matches: Column, pieces: Column, keep: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<start, end, value, before>> in code points, end exclusive, of the matches whose value is to ``keep``.
 
-    def add(acc: Column, s: Column) -> Column:
-        begin = acc["at"] + s["gap"]
-        end = begin + s["len"]
-        row = F.struct(begin.alias("start"), end.alias("end"), s["value"].alias("value"), s["before"].alias("before"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
+    One pass adds up the places, over matches and pieces side by side: a
+    function of all pieces inside a lambda would run again for every match.
+    Spans are gathered in blocks, so that a text full of them stays cheap.
+    """
+    row_type = "array<struct<start:int,end:int,value:string,before:string>>"
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(row_type).alias("block"), F.array().cast(f"array<{row_type}>").alias("blocks"))
+
+    def add(acc: Column, z: Column) -> Column:
+        begin = acc["at"] + F.char_length(z["p"])
+        end = begin + F.coalesce(F.char_length(z["m"]), F.lit(0))
+        row = F.struct(begin.alias("start"), end.alias("end"), z["m"].alias("value"), F.right(z["p"], F.lit(BEFORE)).alias("before"))
+        wanted = z["m"].isNotNull() & (F.lit(True) if keep is None else keep(z["m"]))
+        full = F.size(acc["block"]) == BLOCK
+        block = F.when(full, F.array(row)).otherwise(F.concat(acc["block"], F.array(row)))
+        blocks = F.when(full, F.concat(acc["blocks"], F.array(acc["block"]))).otherwise(acc["blocks"])
+        grown = F.struct(end.alias("at"), block.alias("block"), blocks.alias("blocks"))
+        return F.when(wanted, grown).otherwise(F.struct(end.alias("at"), acc["block"].alias("block"), acc["blocks"].alias("blocks")))
 
-    return F.aggregate(step, start, add, lambda acc: acc["out"])
+    pairs = F.arrays_zip(matches.alias("m"), pieces.alias("p"))
+    return F.aggregate(pairs, start, add, lambda acc: F.flatten(F.concat(acc["blocks"], F.array(acc["block"]))))
 
 
 def digits(value: Column) -> Column:
@@ -84,7 +97,7 @@ def base_spans(text: Column) -> Column:
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
     def of_kind(number: int, kind: str, pattern: str) -> Column:
-        kept = F.filter(spans(*found_spans(text, pattern)), lambda s: passes(kind, s["value"]))
+        kept = spans(*found_spans(text, pattern), keep=lambda value: passes(kind, value))
         rows = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end")))
         may = F.contains(text, F.lit(hint[kind])) if kind in hint else text.rlike("[0-9]")
         return F.when(may, rows).otherwise(empty)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -324,6 +325,17 @@ def test_weak_supervision_adds_secrets(spark):
     assert sum(r["s"] == "" for r in rows) == 40
 
 
+def test_texts_full_of_numbers_take_time_in_proportion(spark):
+    rng = random.Random(8)
+    numbers = " ".join(str(rng.randrange(10, 10**6)) for _ in range(60_000))
+    phones = ", ".join(f"+1 555 {i:07d}" for i in range(5_000))
+    texts = [numbers, phones, "1.2.3.4 " * 3_000]
+    started = time.monotonic()
+    rows = pii.find_personal_data(documents(spark, texts)).select("doc_id", pii.span_text(F.col("base")).alias("base")).collect()
+    assert {r["doc_id"]: r["base"] for r in rows} == {i: brute_spans(x) for i, x in enumerate(texts)}
+    assert time.monotonic() - started < 60
+
+
 # Mixing -----------------------------------------------------------------------
 
 
