@@ -429,6 +429,7 @@ def oracle_sql() -> dict[str, str]:
         "paper_dedup": PAPERS,
         "conflict_split": CONFLICTS,
         "link_pages_to_docs": LINK + "SELECT page_id, is_event, CASE WHEN y IS NOT NULL AND NOT is_event THEN y::VARCHAR ELSE 'none' END AS paper_id, CASE WHEN NOT is_event THEN coalesce(score / 100, 0.0) ELSE 0.0 END AS link_score FROM linked",
+        "unlinked_pages": LINK + "SELECT page_id, is_event FROM linked WHERE is_event OR y IS NULL",
         "mentions_per_doc": LINK + "SELECT y::VARCHAR AS paper_id, count(*) AS n_mentions, min(page_id) AS first_page FROM linked WHERE y IS NOT NULL AND NOT is_event GROUP BY y",
         "review_band": BAND,
         "verdict_removal": (
@@ -552,6 +553,16 @@ def oracle_sql() -> dict[str, str]:
         "preprint_feed": _feed("'10.1/p' || doc_id", "title", "body", "'A|B|' || lang", "'biorxiv'", FEED_DATE, "'https://www.biorxiv.org/content/10.1/p' || doc_id || 'v2'"),
         "pubmed_feed": _feed("'10.1/m' || doc_id", "trim('A b ' || title)", "trim('AIM: xy ' || body)", "'Ada ' || lang || '|Team'", "source", "'2024-' || lpad((doc_id % 12 + 1)::VARCHAR, 2, '0') || '-05'", "'https://pubmed.ncbi.nlm.nih.gov/' || doc_id || '/'"),
         "rss_feed": _news_feed("rss", "https://n.example/", "body", "source", "'en'"),
+        "atom_feed": _news_feed("atom", "https://a.example/", "body", "source", "'en'"),
+        "issue_metrics": (
+            f"WITH {RECORDS}, k AS (SELECT r.*, {KIND} AS kind, coalesce(quality = 1, false) AS good, doc_id % 3 = 0 AS found, doc_id % 3 = 0 AND n_chars > 1000 AS kept FROM r LEFT JOIN labels USING (doc_id)) "
+            "SELECT source AS profile_id, count(*) AS raw_papers, count(*) FILTER (good) AS papers, count(*) FILTER (good AND kind = 'research') AS research, count(*) FILTER (good AND kind = 'review') AS reviews, "
+            "count(*) FILTER (found) AS raw_news, count(*) FILTER (kept) AS news, count(*) FILTER (good AND NOT found AND doc_id % 2 = 0) + count(*) FILTER (kept AND lang = 'en') AS translated FROM k GROUP BY source"
+        ),
+        "answer_validity": (
+            "WITH a AS (SELECT o_orderkey, [CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice::VARCHAR END, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey::VARCHAR ELSE '  ' END, o_orderstatus, CASE WHEN o_orderkey % 5 < 3 THEN o_orderpriority END, CASE WHEN o_orderkey % 7 = 1 THEN 'x' END] AS f FROM orders), "
+            "b AS (SELECT o_orderkey, len(list_filter(f, lambda x: trim(x) <> ''))::BIGINT AS n_filled FROM a) SELECT o_orderkey, n_filled, n_filled >= 3 AS valid FROM b"
+        ),
         "gdelt_feed": _news_feed("GDELT DOC 2.0", "https://g.example/", "''", "source", "lang"),
         "reliefweb_feed": _news_feed("ReliefWeb", "https://r.example/", "body", "source || ', ' || lang", "'en'"),
         "section_buckets": (

@@ -260,6 +260,24 @@ def arrival_rank(spark, sf):
     return ranking.global_rank(rows, order, "rank").select("doc_id", F.col("rank").cast("bigint").alias("rank"))
 
 
+def issue_metrics(spark, sf):
+    """Counts of each source: documents as found papers, those of good quality as kept ones, every third as news."""
+    docs = records(spark, sf).withColumnRenamed("source", "profile_id")
+    good = table(spark, sf, "labels").where(F.col("quality") == 1).select("doc_id")
+    kind = evidence.paper_type(F.array("lang"), F.col("title"), F.col("body"), TYPE_WORDS)
+    papers = docs.join(good, "doc_id", "left_semi").withColumns({"paper_type": kind, "title_translated": F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 2 == 0)})
+    found = docs.where(F.col("doc_id") % 3 == 0)
+    news = found.where(F.col("n_chars") > 1000).withColumn("title_translated", F.col("lang") == "en")
+    return metrics.issue_metrics(papers, news, docs, found)
+
+
+def answer_validity(spark, sf):
+    """Which answers fill at least three of their five fields."""
+    key = F.col("o_orderkey")
+    fields = [F.when(key % 2 == 0, F.col("o_totalprice").cast("string")), F.when(key % 3 == 0, F.col("o_custkey").cast("string")).otherwise("  "), F.col("o_orderstatus"), F.when(key % 5 < 3, F.col("o_orderpriority")), F.when(key % 7 == 0, F.lit("")).when(key % 7 == 1, F.lit("x"))]
+    return table(spark, sf, "orders").select("o_orderkey", attempts.filled_elements(fields).cast("long").alias("n_filled"), attempts.answer_valid(fields).alias("valid"))
+
+
 def metrics_rollup(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "source", "lang")
     joined = rows.join(table(spark, sf, "labels"), "doc_id", "left")
@@ -364,6 +382,12 @@ def link_pages_to_docs(spark, sf):
     )
 
 
+def unlinked_pages(spark, sf):
+    """News that no paper takes: events, and titles unlike any paper's."""
+    linked = link.link_news(_page_news(spark, sf), _doc_papers(spark, sf), event_words=GUARD_WORDS)
+    return link.remaining_news(linked).select("page_id", "is_event")
+
+
 def mentions_per_doc(spark, sf):
     linked = link.link_news(_page_news(spark, sf), _doc_papers(spark, sf), event_words=GUARD_WORDS)
     return link.media_mentions(linked).groupBy("paper_id").agg(
@@ -1040,6 +1064,17 @@ def rss_feed(spark, sf):
     return _adapted_news(news_feeds.rss_rows(landing.from_xml_payload(rows, "p", news_feeds.RSS), "rss", "en"))
 
 
+def atom_feed(spark, sf):
+    day_text = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 300).cast("int")), "yyyy-MM-dd")
+    markup = F.concat(
+        F.lit("<entry><title>"), _escaped(F.col("title")), F.lit('</title><link rel="self" href="https://s.example/x"/><link href="https://a.example/'), "id",
+        F.lit('"/><content type="html">&lt;p&gt;'), _escaped(F.col("body")), F.lit("&lt;/p&gt;</content><updated>"), day_text,
+        F.lit("T10:00:00Z</updated><author><name>"), "source", F.lit("</name></author></entry>"),
+    )
+    rows = _payload_docs(spark, sf).select(markup.alias("p"))
+    return _adapted_news(news_feeds.atom_rows(landing.from_xml_payload(rows, "p", news_feeds.ATOM), "atom", "en"))
+
+
 def gdelt_feed(spark, sf):
     item = F.struct("title", F.concat(F.lit("https://g.example/"), "id").alias("url"), F.concat(F.replace(_date_text(), F.lit("-"), F.lit("")), F.lit("T101500Z")).alias("seendate"), F.col("source").alias("domain"), F.col("lang").alias("language"))
     rows = _payload_docs(spark, sf).select(_json(F.struct(F.array(item).alias("articles"))).alias("p"))
@@ -1120,6 +1155,8 @@ ALL: list[Query] = [
     topk_per_source,
     arrival_rank,
     metrics_rollup,
+    issue_metrics,
+    answer_validity,
     similar_titles,
     similar_titles_strict,
     title_leaders,
@@ -1128,6 +1165,7 @@ ALL: list[Query] = [
     paper_dedup,
     conflict_split,
     link_pages_to_docs,
+    unlinked_pages,
     mentions_per_doc,
     review_band,
     verdict_removal,
@@ -1181,6 +1219,7 @@ ALL: list[Query] = [
     preprint_feed,
     pubmed_feed,
     rss_feed,
+    atom_feed,
     gdelt_feed,
     reliefweb_feed,
     section_buckets,

@@ -17,6 +17,10 @@ RSS = (
     "title string,link string,description string,pubDate string,updated string,author string,"
     "source struct<_url:string,_VALUE:string>"
 )
+ATOM = (
+    "title struct<_type:string,_VALUE:string>,link array<struct<_href:string,_rel:string,_VALUE:string>>,summary struct<_type:string,_VALUE:string>,"
+    "content struct<_type:string,_VALUE:string>,published string,updated string,author array<struct<name:string>>,source struct<title:string>"
+)
 GDELT = "articles array<struct<title:string,url:string,seendate:string,socialimage:string,domain:string,language:string>>"
 RELIEFWEB = (
     "data array<struct<fields:struct<title:string,url:string,body:string,date:struct<created:string>,"
@@ -39,6 +43,25 @@ def rss_rows(rows: DataFrame, source: str, language: str) -> DataFrame:
     )
 
 
+def atom_rows(rows: DataFrame, source: str, language: str) -> DataFrame:
+    """Atom entries: the link that is no other relation's, else the first; the summary, else the content."""
+    plain = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    link = F.coalesce(F.get(plain, F.lit(0)), F.get("link", F.lit(0)))["_href"]
+    told = F.coalesce(blank_to_null(F.col("summary._VALUE")), F.col("content._VALUE"))
+    return conform(
+        rows.select(
+            F.lit(source).alias("source"),
+            clean_space(F.col("title._VALUE")).alias("title"),
+            clean_space(link).alias("url"),
+            F.coalesce(feed_date(F.col("published")), feed_date(F.col("updated"))).alias("published_date"),
+            strip_tags(told).alias("excerpt"),
+            clean_space(F.coalesce(F.col("source.title"), F.get("author.name", F.lit(0)))).alias("publisher"),
+            F.lit(language).alias("language"),
+        ),
+        NEWS,
+    )
+
+
 def gdelt_rows(rows: DataFrame) -> DataFrame:
     r = rows.select(F.explode("articles").alias("r"))
     return conform(
@@ -91,7 +114,9 @@ def official_page_rows(pages: DataFrame, terms: Sequence[str], base: str, source
 
 
 def read_rss(spark: SparkSession, path: str, source: str, language: str) -> DataFrame:
-    return rss_rows(read_xml(spark, path, "item", RSS), source, language)
+    """Items of RSS files and entries of Atom files; a folder may hold both kinds."""
+    items = rss_rows(read_xml(spark, path, "item", RSS), source, language)
+    return items.unionByName(atom_rows(read_xml(spark, path, "entry", ATOM), source, language))
 
 
 def read_gdelt(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
