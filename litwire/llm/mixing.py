@@ -5,11 +5,15 @@ over domains. Rates r >= 0 then minimise
 
     sum over domains k of (S_k - T_k)^2 / (N T_k)  +  RIDGE / N * sum over documents of n_d (r_d - 1)^2,
 
-S_k the sum of r_d n_d p_dk, n_d a document's tokens, N all tokens. At the
-minimum r_d is the larger of 0 and 1 - sum of p_dk g_k / RIDGE, where the dual
-g_k is the gap (S_k - T_k) / T_k. So documents of one feature pattern share a
-rate, and Newton steps look for the duals over sums by pattern, of which there
-is a fixed number, until the projected gradient of the rates vanishes.
+S_k the sum of r_d n_d p_dk, n_d a document's tokens, N all tokens. They are
+found by projected gradient: each step moves all rates down the gradient and
+back to 0 where they fell below. Gradients of rates differ by what documents
+have in common, their posteriors, so the step is scaled by the curvature of
+the domain totals over the rates that are free to move; rates at 0 that the
+gradient holds there keep to a diagonal scale (two-metric projection). Steps
+are halved until the objective falls, and end when the projected gradient
+vanishes. Documents of one feature pattern share a rate, so sums go over
+patterns, of which there is a fixed number.
 DataFrame functions throughout; the driver solves for one number per domain.
 """
 
@@ -32,8 +36,10 @@ LEXICON = 40
 BANDS, HITS = 8, 4
 MOST_DOMAINS = 16
 RIDGE, CLOSE = 1e-3, 0.002
-#: Projected gradient, relative to the pull of the duals, at which rates are taken as found. Newton steps end far below MOST_STEPS; beyond it they fail.
-FOUND, MOST_STEPS = 1e-10, 200
+#: Projected gradient, relative to the largest gap, at which rates are taken as found. Steps end far below MOST_STEPS; beyond it they fail.
+FOUND, MOST_STEPS = 1e-9, 200
+#: Rates up to this, at most, count as held at 0 if the gradient pushes them there.
+HELD = 0.01
 #: Word characters that seldom occur in running text.
 MARKS = r"[#*$%&|<>!]"
 
@@ -137,63 +143,96 @@ def posteriors(table: DataFrame, model: Classifier) -> DataFrame:
     return weights.withColumn("_n", total).withColumn("_p", F.transform("_w", lambda w: w / F.col("_n"))).drop("_s", "_top", "_w", "_n")
 
 
-def rate_of(steps: list[list[float]], shrink: float) -> Column:
-    """The rate after projected gradient steps, each given by its pull per domain, from a rate of 1."""
+@dataclass(frozen=True)
+class Step:
+    """One step: its length, the gaps of the domain totals before it, their scaled direction, and up to where rates count as held."""
+
+    length: float
+    gaps: list[float]
+    scaled: list[float]
+    held: float
+
+
+def gradient_of(rate: Column, gaps: Column) -> Column:
+    """Derivative of the objective by a rate, a share of its document's tokens; ``gaps`` is the pull p . gap."""
+    return gaps + RIDGE * (rate - 1)
+
+
+def rate_of(steps: list[Step], wide: int) -> Column:
+    """The rate after projected gradient steps from a rate of 1."""
     if not steps:
         return F.lit(1.0)
-    wide = len(steps[0])
-    pulls = F.lit([v for step in steps for v in step])
+    flat = F.lit([v for s in steps for v in (s.length, s.held, *s.gaps, *s.scaled)])
+    size = 2 + 2 * wide
+
+    def pull(at: Column) -> Column:
+        return sum((F.get("_p", F.lit(k)) * F.get(flat, at + k) for k in range(wide)), F.lit(0.0))
 
     def descend(rate: Column, step: Column) -> Column:
-        pull = sum((F.get("_p", F.lit(k)) * F.get(pulls, step * wide + k) for k in range(wide)), F.lit(0.0))
-        return F.greatest(F.lit(0.0), rate * (1 - shrink) + shrink - pull)
+        at = step * size
+        plain = pull(at + 2)
+        held = (rate <= F.get(flat, at + 1)) & (gradient_of(rate, plain) > 0)
+        move = rate - 1 + F.when(held, plain).otherwise(pull(at + 2 + wide)) / RIDGE
+        return F.greatest(F.lit(0.0), rate - F.get(flat, at) * move)
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), F.lit(1.0), descend)
 
 
-def fit_rates(patterns: DataFrame, targets: list[float]) -> tuple[list[list[float]], float]:
-    """Pulls and shrinkage for ``rate_of`` at the minimum over ``patterns`` (_p, _tokens summed).
+def fit_rates(patterns: DataFrame, targets: list[float]) -> tuple[list[Step], list[float]]:
+    """Projected gradient steps to the minimum over ``patterns`` (_p, _tokens summed), and the gaps left there.
 
-    Newton steps on the convex dual, halved until they descend; the distributed
-    part of each is one aggregation. Raises when they do not reach the minimum.
+    The distributed part of each step is two aggregations, and one more for each halving. Raises when the minimum is not reached.
     """
     k = len(targets)
     total = float(patterns.agg(F.sum("_tokens").alias("n")).first()["n"] or 0)
     if not total:
-        return [], 0.0
+        return [], [0.0] * k
     goal = np.array([max(t, 1e-9) for t in targets])
+    root = np.sqrt(goal)
+    weighed = patterns.select("_p", (F.col("_tokens") / total).alias("_w"))
 
-    def at(dual: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """The dual objective, the domain totals, and the curvature, over all tokens."""
-        rated = patterns.withColumn("_r", rate_of([(dual / RIDGE).tolist()], 1.0))
-        part = lambda i: F.col("_tokens") * F.get("_p", F.lit(i))
+    def part(i: int) -> Column:
+        return F.col("_w") * F.get("_p", F.lit(i))
+
+    def objective(steps: list[Step]) -> tuple[float, np.ndarray]:
+        """The objective and the gaps of the domain totals after ``steps``."""
+        rated = weighed.withColumn("_r", rate_of(steps, k))
         sums = [F.sum(F.col("_r") * part(i)).alias(f"s{i}") for i in range(k)]
-        cells = [F.sum(F.when(F.col("_r") > 0, part(i) * F.get("_p", F.lit(j))).otherwise(0.0)).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
-        row = rated.agg(F.sum(F.col("_tokens") * F.col("_r") * F.col("_r")).alias("q"), *sums, *cells).first()
-        bend = np.array([[row[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total / RIDGE
-        return float((goal * dual * (dual / 2 + 1)).sum() + RIDGE / 2 * row["q"] / total), np.array([row[f"s{i}"] for i in range(k)]) / total, bend + np.diag(goal)
+        row = rated.agg(F.sum(F.col("_w") * (F.col("_r") - 1) * (F.col("_r") - 1)).alias("q"), *sums).first()
+        gaps = (np.array([row[f"s{i}"] for i in range(k)]) - goal) / goal
+        return float((goal * gaps * gaps).sum() / 2 + RIDGE / 2 * row["q"]), gaps
 
-    dual = np.zeros(k)
-    value, sums, bend = at(dual)
+    steps: list[Step] = []
+    value, gaps = objective(steps)
+    held = HELD
     for _ in range(MOST_STEPS):
-        off = (sums - goal) / goal - dual
-        if (np.abs(off) <= FOUND * (1 + np.abs(dual) / RIDGE)).all():
-            return [(dual / RIDGE).tolist()], 1.0
+        plain = sum((F.get("_p", F.lit(i)) * float(g) for i, g in enumerate(gaps)), F.lit(0.0))
+        rated = weighed.withColumn("_r", rate_of(steps, k)).withColumn("_g", gradient_of(F.col("_r"), plain))
+        left = F.when(F.col("_r") > 0, F.abs("_g")).otherwise(F.greatest(F.lit(0.0), -F.col("_g")))
+        free = ~((F.col("_r") <= held) & (F.col("_g") > 0))
+        cells = [F.sum(F.when(free, part(i) * F.get("_p", F.lit(j))).otherwise(0.0)).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
+        slopes = [F.sum(F.when(free, part(i) * F.col("_g")).otherwise(0.0)).alias(f"b{i}") for i in range(k)]
+        along = F.sum(F.when(free, F.col("_w") * F.col("_g") * (F.col("_r") - 1)).otherwise(0.0)).alias("t")
+        row = rated.agg(F.max(left).alias("left"), along, *cells, *slopes).first()
+        if row["left"] <= FOUND * (1 + np.abs(gaps).max()):
+            return steps, gaps.tolist()
+        slope = np.array([row[f"b{i}"] for i in range(k)])
+        bend = np.array([[row[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
         # Scaled by the targets, as those of small domains differ by orders of magnitude.
-        root = np.sqrt(goal)
-        move = np.linalg.solve(bend / np.outer(root, root), off * root) / root
-        slope = float((goal * off * move).sum())
-        part = 1.0
+        scaled = gaps - np.linalg.solve(bend / np.outer(root, root) + RIDGE * np.eye(k), slope / root) / root
+        fall = row["t"] + float(slope @ scaled) / RIDGE
+        length = 1.0
         while True:
-            tried = at(dual + part * move)
-            if tried[0] <= value - 1e-4 * part * slope + 1e-14 * (1 + abs(value)):
+            tried = [*steps, Step(length, gaps.tolist(), scaled.tolist(), held)]
+            ahead = objective(tried)
+            if ahead[0] <= value - 1e-4 * length * fall + 1e-14 * (1 + abs(value)):
                 break
-            part /= 2
-            if part < 1e-9:
-                raise RuntimeError(f"rates not found: gaps {off.tolist()}")
-        dual = dual + part * move
-        value, sums, bend = tried
-    raise RuntimeError(f"rates not found in {MOST_STEPS} steps: gaps {off.tolist()}")
+            length /= 2
+            if length < 1e-9:
+                raise RuntimeError(f"rates not found: projected gradient {row['left']}")
+        steps, held = tried, min(HELD, row["left"])
+        value, gaps = ahead
+    raise RuntimeError(f"rates not found in {MOST_STEPS} steps: projected gradient {row['left']}")
 
 
 @dataclass(frozen=True)
@@ -201,17 +240,13 @@ class Mixture:
     """What ``fit`` found; ``apply`` needs a text and an id only."""
 
     model: Classifier
-    steps: list[list[float]]
-    shrink: float
-
-    @property
-    def gaps(self) -> dict[str, float]:
-        """How far each domain's expected total is from its target, as a share of the target."""
-        return {d: sum(step[i] for step in self.steps) * RIDGE for i, d in enumerate(self.model.domains)}
+    steps: list[Step]
+    #: How far each domain's expected total is from its target, as a share of the target.
+    gaps: dict[str, float]
 
     def rated(self, table: DataFrame) -> DataFrame:
         """A table with features, with _p, _rate and _copies."""
-        rows = posteriors(table, self.model).withColumn("_rate", rate_of(self.steps, self.shrink))
+        rows = posteriors(table, self.model).withColumn("_rate", rate_of(self.steps, len(self.model.domains)))
         chance = F.pmod(F.xxhash64("_id", "_t"), F.lit(1 << 30)) / float(1 << 30)
         whole = F.floor("_rate")
         return rows.withColumn("_copies", (whole + (chance < F.col("_rate") - whole).cast("long")).cast("int"))
@@ -234,8 +269,8 @@ def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     model = learn(table, labels, domains, lexicons)
     names = feature_names(len(domains))
     patterns = cut(posteriors(table.groupBy(*names).agg(F.sum("_tokens").alias("_tokens")), model))
-    steps, shrink = fit_rates(patterns, [targets[d] / weight for d in domains])
-    mixture = Mixture(model, steps, shrink)
+    steps, gaps = fit_rates(patterns, [targets[d] / weight for d in domains])
+    mixture = Mixture(model, steps, dict(zip(domains, gaps, strict=True)))
     missed = {d: round(gap, 4) for d, gap in mixture.gaps.items() if abs(gap) > CLOSE}
     if missed:
         warnings.warn(f"targets that no rates meet; totals are off by these shares of them: {missed}", stacklevel=2)
@@ -243,19 +278,22 @@ def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, p_<domain> for each, rate, copies.
+    """One row per row of ``docs``: doc_id, n_tokens, p_<domain> for each, rate, copies, gap_<domain> for each.
 
     ``labelled`` has doc_id and domain; ``targets`` gives each domain's share
     of tokens. ``copies`` is the rate rounded down or up by a hash of id and
     text, so that its expectation is the rate. Missing and empty texts have no
-    tokens and get a rate as others do. Repeated rows get equal rates and
+    tokens and get a rate as others do. ``gap_<domain>``, alike in all rows, says
+    how far that domain's expected total stays from its target, as a share of
+    the target; only targets that no rates meet leave more than traces. Repeated rows get equal rates and
     copies. Without labelled rows all posteriors are equal. Other columns are
     left aside; an empty table gives an empty table.
     """
     mixture, table = fit(docs, labelled, targets, id_col, text_col)
     rows = mixture.rated(table)
     shares = [F.get("_p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(mixture.model.domains)]
-    return rows.select("doc_id", F.col("_tokens").alias("n_tokens"), *shares, F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
+    gaps = [F.lit(gap).alias(f"gap_{d}") for d, gap in mixture.gaps.items()]
+    return rows.select("doc_id", F.col("_tokens").alias("n_tokens"), *shares, F.col("_rate").alias("rate"), F.col("_copies").alias("copies"), *gaps)
 
 
 def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -362,8 +362,8 @@ def test_rates_equal_plain_descent(spark):
         gap = (p * (rate * n)[:, None]).sum(0) - goal
         rate = np.maximum(0, rate - 0.05 * (p @ (gap / goal) + mixing.RIDGE * (rate - 1)))
     table = spark.createDataFrame([(p[i].tolist(), int(n[i])) for i in range(3)], "_p array<double>, _tokens long")
-    steps, shrink = mixing.fit_rates(table, [0.7, 0.3])
-    got = [r[0] for r in table.select(mixing.rate_of(steps, shrink)).collect()]
+    steps, _ = mixing.fit_rates(table, [0.7, 0.3])
+    got = [r[0] for r in table.select(mixing.rate_of(steps, 2)).collect()]
     totals = (p * (np.array(got) * n)[:, None]).sum(0)
     assert totals == pytest.approx((p * (rate * n)[:, None]).sum(0), rel=0.01)
 
@@ -381,8 +381,29 @@ def test_rates_are_the_minimum(spark, targets, clear, vague):
             n.append(int(1_000_000 * share * part))
     p, n, goal = np.array(p), np.array(n, float), np.maximum(targets, 1e-9) * sum(n)
     table = spark.createDataFrame([(row.tolist(), int(k)) for row, k in zip(p, n, strict=True)], "_p array<double>, _tokens long")
-    steps, shrink = mixing.fit_rates(table, targets)
-    rate = np.array([r[0] for r in table.select(mixing.rate_of(steps, shrink)).collect()])
+    steps, gaps = mixing.fit_rates(table, targets)
+    rate = np.array([r[0] for r in table.select(mixing.rate_of(steps, 3)).collect()])
+    assert len(steps) < 40
+    gap = ((p * (rate * n)[:, None]).sum(0) - goal) / goal
+    gradient = p @ gap + mixing.RIDGE * (rate - 1)
+    scale = 1 + np.abs(gap).max()
+    assert (rate >= 0).all()
+    assert np.abs(gradient[rate > 0]).max() < 1e-6 * scale
+    assert (gradient[rate == 0] > -1e-6 * scale).all()
+    assert gaps == pytest.approx(gap, abs=1e-6 * scale)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_rates_of_random_patterns_are_the_minimum(spark, seed):
+    rng = np.random.default_rng(seed)
+    k = int(rng.integers(1, 7))
+    p = rng.dirichlet(np.full(k, 0.3), 150)
+    n = rng.integers(0, 10_000, 150).astype(float)
+    targets = rng.dirichlet(np.full(k, 0.4))
+    goal = np.maximum(targets, 1e-9) * n.sum()
+    table = spark.createDataFrame([(row.tolist(), int(m)) for row, m in zip(p, n, strict=True)], "_p array<double>, _tokens long")
+    steps, _ = mixing.fit_rates(table, targets.tolist())
+    rate = np.array([r[0] for r in table.select(mixing.rate_of(steps, k)).collect()])
     gap = ((p * (rate * n)[:, None]).sum(0) - goal) / goal
     gradient = p @ gap + mixing.RIDGE * (rate - 1)
     scale = 1 + np.abs(gap).max()
@@ -395,7 +416,9 @@ def test_targets_out_of_reach_are_reported(spark):
     texts = [f"fine words in order {i} here now" for i in range(30)] + [f"junk ### $$$ %%% {i}" for i in range(30)]
     labelled = spark.createDataFrame([(i, "good" if i < 30 else "poor") for i in range(60)], "doc_id long, domain string")
     with pytest.warns(UserWarning, match="poor"):
-        mixing.document_rates(documents(spark, texts[:30]), labelled, {"good": 0.1, "poor": 0.9})
+        rows = mixing.document_rates(documents(spark, texts[:30]), labelled, {"good": 0.1, "poor": 0.9})
+    (gaps,) = rows.select("gap_good", "gap_poor").distinct().collect()
+    assert gaps["gap_poor"] < -0.01
 
 
 # Top-k ------------------------------------------------------------------------
