@@ -144,3 +144,10 @@ DEFAULT_GROUPS = [
 ]
 
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+
+# Elements whose text is no part of a page's main text, and tags that end a block of text.
+UNSEEN_TAGS = ["head", "script", "style", "template", "noscript", "nav", "header", "footer", "form", "aside", "button"]
+BLOCK_TAGS = [
+    "html", "body", "main", "article", "section", "div", "p", "pre", "blockquote", "h[1-6]", "hr", "ul", "ol", "li",
+    "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "figure", "figcaption", "address",
+]

@@ -249,6 +249,21 @@ def _plain(x: str) -> str:
     return squeeze(f"regexp_replace({x}, {EDGE}, '', 'g')")
 
 
+def _n_words(x: str) -> str:
+    return rf"len(regexp_extract_all({x}, '[^\x00-\x20]+'))"
+
+
+def _marked(html: str) -> str:
+    """A page with chr(1) between blocks and chr(2), chr(3) around links; article tags count as block tags."""
+    x = f"regexp_replace(translate({html}, chr(1) || chr(2) || chr(3), '   '), '(?s)<!--.*?-->', ' ', 'g')"
+    for tag in fixed.UNSEEN_TAGS:
+        x = rf"regexp_replace({x}, '(?is)<{tag}\b[^>]*>.*?</{tag}\s*>', chr(1), 'g')"
+    x = rf"regexp_replace({x}, '(?i)</?({'|'.join(fixed.BLOCK_TAGS)})\b[^>]*>', chr(1), 'g')"
+    return rf"regexp_replace(regexp_replace({x}, '(?i)<a\b[^>]*>', chr(2), 'g'), '(?i)</a\s*>', chr(3), 'g')"
+
+
+LINKED = "array_to_string(regexp_extract_all(t, chr(2) || '([^' || chr(2) || chr(3) || ']*)', 1), ' ')"
+TRANSLATED = "translate(t, chr(2) || chr(3), '  ')"
 ARTICLE = squeeze(DECODED.format(x="regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]+>', ' ', 'g')"))
 VISIBLE = squeeze(
     DECODED.format(
@@ -440,6 +455,18 @@ def oracle_sql() -> dict[str, str]:
             f"WITH a AS (SELECT page_id, url, {_plain(ARTICLE)} AS c, {squeeze(DECODED.format(x=PAGE_TITLE))} AS page_title FROM pages) "
             "SELECT page_id, 'article_or_main' AS method, CASE WHEN length(c) >= 1800 THEN 'full' WHEN length(c) >= 300 THEN 'partial' ELSE 'unavailable' END AS content_status, md5(c) AS content_md5, length(c) AS n_chars, page_title, url AS resolved_url FROM a"
         ),
+        "page_dense_text": (
+            f"WITH a AS (SELECT page_id, string_split(regexp_replace({_marked('html')}, '<[^>]+>', ' ', 'g'), chr(1)) AS l FROM pages), "
+            "b AS (SELECT page_id, unnest(range(len(l))) AS i, unnest(l) AS t FROM a), "
+            f"c AS (SELECT *, {_n_words('t')} - 3 * {_n_words(LINKED)} - 8 AS s FROM b WHERE {_n_words('t')} > 0), "
+            "d AS (SELECT *, sum(s) OVER (PARTITION BY page_id ORDER BY i) AS upto FROM c), "
+            "e AS (SELECT *, upto - min(upto - s) OVER (PARTITION BY page_id ORDER BY i) AS gain, min(upto - s) OVER (PARTITION BY page_id ORDER BY i) AS low FROM d), "
+            "f AS (SELECT * FROM e WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY gain DESC, i) = 1), "
+            "g AS (SELECT f.page_id, f.i AS hi, max(d.i) AS lo FROM f JOIN d ON d.page_id = f.page_id AND d.i <= f.i AND d.upto - d.s = f.low GROUP BY ALL), "
+            "h AS (SELECT g.page_id, string_agg(d.t, ' ' ORDER BY d.i) AS t FROM g JOIN d ON d.page_id = g.page_id AND d.i BETWEEN g.lo AND g.hi GROUP BY ALL), "
+            f"k AS (SELECT page_id, {_plain(squeeze(DECODED.format(x=TRANSLATED)))} AS c FROM h) "
+            "SELECT page_id, CASE WHEN c IS NULL THEN 'none' ELSE 'text_density' END AS method, md5(coalesce(c, '')) AS content_md5, length(coalesce(c, '')) AS n_chars FROM pages LEFT JOIN k USING (page_id)"
+        ),
         "page_contexts": f"SELECT page_id, sha256(t) AS content_hash, length(t) AS n_chars FROM (SELECT page_id, {VISIBLE} AS t FROM pages) WHERE length(t) >= 200",
         "page_links": (
             f"WITH a AS (SELECT page_id, regexp_extract_all(html, '{link_anchor}', 1) AS h, regexp_extract_all(html, '{link_anchor}', 2) AS t FROM pages), "

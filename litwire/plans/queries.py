@@ -470,6 +470,13 @@ def page_main_text(spark, sf):
     )
 
 
+def page_dense_text(spark, sf):
+    """Pages without their article elements: what the density of text finds."""
+    bare = table(spark, sf, "pages").withColumn("html", F.regexp_replace("html", "</?article>", "<div>"))
+    pages = content.extract_pages(bare)
+    return pages.select("page_id", "method", F.md5("content").alias("content_md5"), F.char_length("content").cast("bigint").alias("n_chars"))
+
+
 def page_contexts(spark, sf):
     pages = content.page_context(table(spark, sf, "pages"))
     return pages.select("page_id", "content_hash", F.char_length("text").cast("bigint").alias("n_chars"))
@@ -1171,6 +1178,7 @@ ALL: list[Query] = [
     verdict_removal,
     identity_check,
     page_main_text,
+    page_dense_text,
     page_contexts,
     page_links,
     candidate_rank,
