@@ -557,6 +557,7 @@ def oracle_sql() -> dict[str, str]:
         "sliding_issue_counts_stream": EVENT_WINDOWS,
         "first_seen": "SELECT user_id, event_type, arg_min(event_id, ts) AS event_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS ts FROM events GROUP BY ALL",
         "first_seen_stream": "SELECT DISTINCT user_id, event_type FROM events",
+        "event_snapshot_stream": "SELECT user_id, event_type, event_id, value, props FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1",
         "union_sources": (
             f"WITH {RECORDS} SELECT 'documents' AS source, title, 'doc:' || doc_id AS url, source AS publisher, lang AS language FROM r UNION ALL SELECT 'pages', {PAGE_TITLE}, url, '', '' FROM pages UNION ALL "
             f"SELECT 'conversations', {squeeze('text')}, 'conv:' || conv_id || ':' || turn, role, '' FROM conversations"

@@ -31,7 +31,7 @@ from litwire.plans.query_plan import build_query_plan, match_plan
 from litwire.schemas import NEWS
 from litwire.session import cut, scratch_path
 from litwire.sources import dictionary, landing, news as news_feeds, scholarly, sinks
-from litwire.streaming import daily
+from litwire.streaming import daily, snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -886,6 +886,17 @@ def first_seen_stream(spark, sf):
     return spark.read.parquet(path).select("user_id", "event_type")
 
 
+def event_snapshot_stream(spark, sf):
+    """The newest event of each user and type, published batch by batch in an order that is not that of time."""
+    source, path = scratch_path(spark, "arrivals"), scratch_path(spark, "snapshot")
+    events = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value", "props")
+    events.repartition(4, "event_id").write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    sink = snapshot.publish(path, ["user_id", "event_type"], ["ts", "event_id"], buckets=8)
+    daily.upsert_batches(stream, scratch_path(spark, "snapshot-state"), sink, "append").awaitTermination()
+    return snapshot.read_snapshot(spark, path).select("user_id", "event_type", "event_id", "value", "props")
+
+
 def union_sources(spark, sf):
     docs = records(spark, sf).select(
         F.lit("documents").alias("source"), "title", F.concat(F.lit("doc:"), "doc_id").alias("url"), F.col("source").alias("publisher"), F.col("lang").alias("language")
@@ -1216,6 +1227,7 @@ ALL: list[Query] = [
     sliding_issue_counts_stream,
     first_seen,
     first_seen_stream,
+    event_snapshot_stream,
     union_sources,
     feed_selection,
     dictionary_split,
