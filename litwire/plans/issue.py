@@ -85,9 +85,11 @@ def build_issue(
     contents: DataFrame | None = None,
     pages: DataFrame | None = None,
     answers: DataFrame | None = None,
+    fetched: DataFrame | None = None,
 ) -> Issue:
     """``papers`` and ``news`` follow the record schemas, with ``record_id``
-    and a sortable ``arrival``."""
+    and a sortable ``arrival``. ``contents`` are chosen texts; ``fetched`` are
+    payloads of candidates (see ``candidate_texts``) to choose from."""
     start, end = date_window(end, limits.days)
 
     dated = filter_window(papers, start, end, limits.strict_window).drop("in_window")
@@ -105,6 +107,10 @@ def build_issue(
     left = link.remaining_news(linked).drop("related_paper_id", "link_score", "is_event")
 
     listed = merge.attach_lists(top, merged.values, ("authors", "publication_types", "sources"))
+    if contents is None and fetched is not None:
+        within = listed.where(F.col("issue_rank") <= limits.fulltexts)
+        once = within.groupBy("paper_id").agg(F.min_by(F.struct("title", "doi", "authors", "abstract"), "profile_id").alias("_p"))
+        contents = cut(content.full_texts(once.select("paper_id", "_p.*"), content.candidate_texts(fetched)))
     if contents is None:
         bare = F.when(F.col("abstract") != "", "abstract_api").otherwise("metadata_only")
         full = listed.withColumns({"full_text": F.lit(""), "full_text_method": bare}).withColumn(

@@ -455,6 +455,14 @@ def oracle_sql() -> dict[str, str]:
             f"WITH a AS (SELECT page_id, url, {_plain(ARTICLE)} AS c, {squeeze(DECODED.format(x=PAGE_TITLE))} AS page_title FROM pages) "
             "SELECT page_id, 'article_or_main' AS method, CASE WHEN length(c) >= 1800 THEN 'full' WHEN length(c) >= 300 THEN 'partial' ELSE 'unavailable' END AS content_status, md5(c) AS content_md5, length(c) AS n_chars, page_title, url AS resolved_url FROM a"
         ),
+        "enriched_papers": (
+            f"WITH {RECORDS}, a AS (SELECT doc_id, title AS t1, {norm('title')} <> '' AS ok, {squeeze("title || ' ' || lang")} AS t2, {squeeze("'Results' || title || ' ' || body")} AS t3, {_plain(squeeze("title || ' ' || body || ' ' || body"))} AS t4 FROM r), "
+            "b AS (SELECT doc_id, t1, unnest([2, 3, 4]) AS pos, unnest([t2, t3, t4]) AS t, unnest(['pmc_bioc', 'jats_xml', 'publisher_html']) AS m FROM a WHERE ok), "
+            "c AS (SELECT *, max(length(t)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b WHERE length(t) >= 400), "
+            "d AS (SELECT * FROM c WHERE before IS NULL OR greatest(before, length(t1)) < 6000 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(t) DESC, pos) = 1), "
+            f"e AS (SELECT doc_id, pos, m, {cut('t', fixed.PAPER_MAX_CHARS)} AS x FROM d WHERE length(t) > length(t1)) "
+            "SELECT a.doc_id::VARCHAR AS paper_id, coalesce(m, CASE WHEN t1 <> '' THEN 'abstract_api' ELSE 'metadata_only' END) AS full_text_method, coalesce('https://c.example/' || pos, '') AS full_text_url, md5(coalesce(x, '')) AS text_md5, length(coalesce(x, '')) AS n_chars FROM a LEFT JOIN e USING (doc_id)"
+        ),
         "page_dense_text": (
             f"WITH a AS (SELECT page_id, string_split(regexp_replace({_marked('html')}, '<[^>]+>', ' ', 'g'), chr(1)) AS l FROM pages), "
             "b AS (SELECT page_id, unnest(range(len(l))) AS i, unnest(l) AS t FROM a), "

@@ -457,6 +457,22 @@ def identity_check(spark, sf):
     )
 
 
+def enriched_papers(spark, sf):
+    """Candidates of four kinds for every document, from payload to identity, best text and attached paper."""
+    docs = records(spark, sf).select(F.col("doc_id").cast("string").alias("paper_id"), "title", "body", "lang")
+    papers = docs.select("paper_id", "title", F.lit(None).cast("string").alias("doi"), F.array().cast("array<string>").alias("authors"), F.col("title").alias("abstract"), F.lit(1).alias("issue_rank"))
+    whole = F.concat_ws(" ", "title", "body")
+    passages = F.to_json(F.array(F.struct(F.array(F.struct(F.array(F.struct(F.col("title").alias("text")), F.struct(F.col("lang").alias("text"))).alias("passages"))).alias("documents"))))
+    article = F.concat(F.lit("<article><body><sec><title>Results</title><p>"), _escaped(whole), F.lit("</p></sec></body></article>"))
+    page = F.concat(F.lit("<html><body><main>"), _escaped(F.concat_ws(" ", "title", "body", "body")), F.lit("</main></body></html>"))
+    refused = F.lit("<html><body><article>" + "-- " * 3000 + "</article></body></html>")
+    listed = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(k).alias("kind"), x.alias("payload")) for i, (k, x) in enumerate([("html", refused), ("json", passages), ("xml", article), ("html", page)], 1)])
+    fetched = docs.select("paper_id", F.explode(listed).alias("c")).select("paper_id", "c.*", F.lit("").alias("method"), F.concat(F.lit("https://c.example/"), "c.pos").alias("url"))
+    chosen = content.full_texts(papers, content.candidate_texts(fetched))
+    out = content.attach_content(papers, chosen)
+    return out.select("paper_id", "full_text_method", F.coalesce("full_text_url", F.lit("")).alias("full_text_url"), F.md5("full_text").alias("text_md5"), F.char_length("full_text").cast("bigint").alias("n_chars"))
+
+
 def page_main_text(spark, sf):
     pages = content.extract_pages(table(spark, sf, "pages"))
     return pages.select(
@@ -1188,6 +1204,7 @@ ALL: list[Query] = [
     review_band,
     verdict_removal,
     identity_check,
+    enriched_papers,
     page_main_text,
     page_dense_text,
     page_contexts,
