@@ -63,11 +63,13 @@ def ship_package(spark: SparkSession) -> None:
     context._litwire_shipped = True
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, buckets: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy.
 
     Parquet rather than an RDD checkpoint: later reads prune columns, keep
-    statistics for join choice, and survive the loss of any executor.
+    statistics for join choice, and survive the loss of any executor. With
+    ``buckets``, the copy is a table in as many buckets by that column as
+    there are shuffle partitions, and joins on it leave it where it is.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "step")
@@ -75,11 +77,16 @@ def cut(df: DataFrame) -> DataFrame:
     # What the write shuffled is of no use once the copy is there.
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        if buckets:
+            table = Path(path).name.replace("-", "_")
+            count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            df.write.bucketBy(count, buckets).option("path", path).format("parquet").saveAsTable(table)
+        else:
+            df.write.parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    copy = spark.read.schema(df.schema).parquet(path)
-    copy._written_to = path
+    copy = spark.table(table) if buckets else spark.read.schema(df.schema).parquet(path)
+    copy._written_to, copy._table = path, table if buckets else None
     return copy
 
 
@@ -87,5 +94,7 @@ def discard(*copies: DataFrame) -> None:
     """Delete tables that ``cut`` wrote and that no later step reads."""
     for copy in copies:
         context = copy.sparkSession.sparkContext
+        if copy._table:
+            copy.sparkSession.sql(f"DROP TABLE IF EXISTS {copy._table}")
         path = context._jvm.org.apache.hadoop.fs.Path(copy._written_to)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
