@@ -15,7 +15,11 @@ most with, then against leaders of other components, then for some rounds
 against other members; in the end pairs with a prefix shingle in common that
 are still in different components are compared exactly. Sizes and bit
 signatures rule out pairs before their sets are fetched, and never rule out a
-link. Copies of a hot text cost a few verifications each, not all pairs.
+link. So do places in the order: at the first shingle that two linked sets have
+in common, enough of either set is still to come, and the smaller one is in the
+shorter part of its prefix. A pair is looked at where that holds, not at each
+shingle it shares. Copies of a hot text cost a few verifications each, not all
+pairs.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ WORDS, SHARE = 5, 80
 SKETCH, CHUNK, FAN_IN = 1 << 22, 1 << 14, 16
 FILTER_BITS = 1 << 25
 MEMBERS = 1000
-SIGNATURE, ROUNDS = 16, 4
+SIGNATURE, WIDEST, ROUNDS = 16, 1024, 4
 CACHE = 150_000
 SLICE = 500
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -85,6 +89,20 @@ def signature(own: np.ndarray) -> np.ndarray:
     return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
 
 
+def wide_signature(own: np.ndarray) -> np.ndarray:
+    """The same in cells that grow with the set, in words of 64: a power of two of them, none where ``signature`` is as wide.
+
+    Up to 64 * WIDEST cells; larger sets are told apart less well, and never wrongly.
+    """
+    width = SIGNATURE
+    while width < WIDEST and 32 * width < len(own):
+        width *= 2
+    if width == SIGNATURE:
+        return np.empty(0, np.int64)
+    cells = np.bincount((own % np.uint64(64 * width)).astype(np.int64), minlength=64 * width)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def need(size: int, share: int) -> int:
     """Shingles that a set of this size must have in common with any partner, at least."""
     return -(-size * share // 100)
@@ -115,7 +133,8 @@ def sketch_counts(docs: DataFrame, text_col: str, words: int = WORDS) -> np.ndar
     cells = np.zeros(SKETCH, np.uint32)
     for row in rows:
         cells[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["cells"]), np.uint32)
-    return np.ceil(np.log2(cells + np.float64(1))).astype(np.uint8)
+    # At most 31, so that shingles with their level in front are in one order as signed and as unsigned numbers.
+    return np.minimum(np.ceil(np.log2(cells + np.float64(1))), 31).astype(np.uint8)
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, share: int = SHARE) -> DataFrame:
@@ -163,8 +182,11 @@ def _places(ids: pa.Array) -> np.ndarray:
     return (mixed(np.asarray(ids.fill_null(0)).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
-    """kind, n, group and set of each class in ``wanted`` (kind, grp, rep): only their documents are hashed again."""
+def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """Sets (kind, own) and marks (kind, n, sign, wide) of the classes in ``wanted`` (kind, rep): only their documents are hashed again.
+
+    The sets are written in buckets by class, so that a join with them moves its other side and not all sets.
+    """
     bits = docs.sparkSession.sparkContext.broadcast(_id_filter(wanted.select("rep")))
 
     def hash_again(batches):
@@ -174,23 +196,34 @@ def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
             batch = batch.filter(pa.array((field[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1))
             sets = [shingle_set(text, cache, words) for text in as_bytes(batch.column(1))]
             kind = [xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63) for s in sets]
-            signs = pa.array([signature(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), signs], names=["rep", "kind", "own", "sign"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "kind", "own"])
 
-    made = docs.select(F.col(id_col).cast("long").alias("rep"), text_col).mapInArrow(hash_again, "rep long, kind long, own binary, sign array<long>")
+    made = docs.select(F.col(id_col).cast("long").alias("rep"), text_col).mapInArrow(hash_again, "rep long, kind long, own binary")
     # Sets shuffle once: by class alone, for the join and for rows with one id and text twice, which are kept once.
     # The ids are compared by difference, as an equality would become a join key.
-    named = wanted.select("kind", "grp", F.col("rep").alias("_rep"))
+    named = wanted.select("kind", F.col("rep").alias("_rep"))
     rows = made.join(named, "kind").where(F.col("rep").bitwiseXOR(F.col("_rep")) == 0).dropDuplicates(["kind"])
-    return cut(rows.select("kind", "grp", (F.octet_length("own") / 8).cast("long").alias("n"), "own", "sign"))
+    sets = cut(rows.select("kind", "own"), buckets="kind")
+
+    def mark(batches):
+        for batch in sliced(batches):
+            own = [np.frombuffer(value.as_buffer(), np.uint64) for value in batch.column(1)]
+            signs = [pa.array([make(s) for s in own], pa.list_(pa.int64())) for make in (signature, wide_signature)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in own], pa.int64()), *signs], names=["kind", "n", "sign", "wide"])
 
+    return sets, cut(sets.mapInArrow(mark, "kind long, n long, sign array<long>, wide array<long>"))
 
-def verify(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """Those of the class pairs (a, b) that link. Members of a hot ``a`` are dealt to several tasks.
 
-    A task reads the set of each ``a`` before those of its partners, and holds one ``a`` at a time.
+def verify(pairs: DataFrame, sets: DataFrame, marks: DataFrame, share: int = SHARE) -> DataFrame:
+    """Those of the class pairs (a, b) that link; sets are fetched only for pairs that sizes and signatures leave open.
+
+    Members of a hot ``a`` are dealt to several tasks. A task reads the set of
+    each ``a`` before those of its partners, and holds one ``a`` at a time.
     """
-    pairs = cut(pairs.distinct())
+    mark = F.struct("n", "sign", "wide")
+    marked = pairs.distinct().join(marks.select(F.col("kind").alias("a"), mark.alias("x")), "a")
+    marked = marked.join(marks.select(F.col("kind").alias("b"), mark.alias("y")), "b")
+    pairs = cut(marked.where(_may_link("x", "y", share) & _wide_may_link("x", "y", share)).select("a", "b"))
     load = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     left = load.join(sets.select(F.col("kind").alias("a"), "own"), "a")
     left = left.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "own")
@@ -232,6 +265,31 @@ def _may_link(a: str, b: str, share: int):
     return _near(F.col(f"{a}.n"), F.col(f"{b}.n"), share) & (apart * (100 + share) <= sizes * (100 - share))
 
 
+def _wide_may_link(a: str, b: str, share: int):
+    """The same by wide signatures. One twice as wide as the other is folded; others that differ in width decide nothing."""
+    wide = F.greatest(F.size(f"{a}.wide"), F.size(f"{b}.wide"))
+    least = F.least(F.size(f"{a}.wide"), F.size(f"{b}.wide"))
+
+    def folded(side: str, i):
+        other = F.when(F.size(f"{side}.wide") > least, F.get(f"{side}.wide", i + least)).otherwise(F.lit(0).cast("long"))
+        return F.get(f"{side}.wide", i).bitwiseXOR(other)
+
+    apart = F.aggregate(F.sequence(F.lit(0), least - 1), F.lit(0), lambda sum_, i: sum_ + F.bit_count(folded(a, i).bitwiseXOR(folded(b, i))))
+    sizes = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return F.when((least == 0) | (wide > 2 * least), F.lit(True)).otherwise(apart * (100 + share) <= sizes * (100 - share))
+
+
+def _early(n, place, share: int):
+    """Whether the smaller of two linked sets may have their first common shingle at this place (from 0)."""
+    return place * (100 + share) <= n * (100 - share)
+
+
+def _enough_left(a: str, b: str, share: int):
+    """Whether the structs' sets may link if the shingle at their ``place`` is the first in common; never false for a link there."""
+    left = F.least(F.col(f"{a}.n") - F.col(f"{a}.place"), F.col(f"{b}.n") - F.col(f"{b}.place"))
+    return left * (100 + share) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * share
+
+
 def _expand(pairs: DataFrame, members: DataFrame, heads: DataFrame) -> DataFrame:
     """Class pairs (head of the leading group, member) of group pairs (lead, grp)."""
     led = pairs.select("grp", "lead").join(heads.withColumnsRenamed({"grp": "lead", "head": "a"}), "lead")
@@ -242,13 +300,14 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
     """kind, comp: components of the classes that link with any other class."""
     classes = described.where("n > 0 and doc_id is not null")
     # Equal prefix and size: one group, led by its smallest class.
-    posts = classes.select("grp", "n", _band(F.col("n"), share).alias("band"), F.explode("prefix").alias("t"))
+    posts = classes.select("grp", "n", _band(F.col("n"), share).alias("band"), F.posexplode("prefix").alias("place", "t"))
     # Sizes that may link are in one band or in neighbouring ones. So each group counts in the cell of its band and in the next;
     # whoever shares no cell of a shingle with another group has no partner by it. The size of the leader decides nothing here.
-    cells = posts.select("t", "grp", F.explode(F.array("band", F.col("band") + 1)).alias("cell"))
-    cells = cells.groupBy("t", "cell").agg(F.min("grp").alias("lead"), F.max("grp").alias("last")).where("lead < last")
+    # Nor has a shingle a pair to show that comes late in all its groups.
+    cells = posts.select("t", "grp", _early(F.col("n"), F.col("place"), share).alias("early"), F.explode(F.array("band", F.col("band") + 1)).alias("cell"))
+    cells = cells.groupBy("t", "cell").agg(F.min("grp").alias("lead"), F.max("grp").alias("last"), F.max("early").alias("early")).where("lead < last and early")
     shared = cells.select("t", "lead", F.explode(F.array("cell", F.col("cell") - 1)).alias("band")).groupBy("t", "band").agg(F.min("lead").alias("lead"))
-    posts = cut(posts.join(shared, ["t", "band"]).select("t", "lead", "grp", "n").distinct())
+    posts = cut(posts.join(shared, ["t", "band"]).select("t", "lead", "grp", "n", "place").distinct())
 
     sizes = posts.select("grp", "n").distinct()
     pairs = posts.where("grp <> lead").groupBy("grp", "lead").agg(F.count("*").alias("votes"), F.first("n").alias("n"))
@@ -259,30 +318,31 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
     inner = members.groupBy("grp").agg(F.min("kind").alias("head"), F.max("kind").alias("last")).where("head < last").select("grp", "head")
     active = posts.select("grp").union(inner.select("grp")).distinct()
     members = cut(members.join(active, "grp"))
-    sets = class_sets(docs, members, id_col, text_col, words)
+    sets, marks = class_sets(docs, members, id_col, text_col, words)
     heads = members.groupBy("grp").agg(F.min("kind").alias("head"))
 
     # Expand groups: every member meets the head of its own and of the leading group.
     best = pairs.groupBy("grp").agg(F.max_by("lead", F.struct("votes", "lead")).alias("lead"))
     own = members.join(heads, "grp").where("kind <> head").select(F.col("head").alias("a"), F.col("kind").alias("b"))
-    comps = connect(verify(own.union(_expand(best, members, heads)), sets, share))
+    comps = connect(verify(own.union(_expand(best, members, heads)), sets, marks, share))
 
     rest = relabel(relabel(_expand(pairs, members, heads), comps, "a"), comps, "b").where("a_comp <> b_comp").select("a", "b")
-    comps = connect(verify(rest, sets, share), comps)
+    comps = connect(verify(rest, sets, marks, share), comps)
 
     # What may still link: pairs of members with a prefix shingle in common, in different components.
-    known = sets.select("kind", F.struct("n", "sign").alias("x"))
-    rows = posts.select("t", "grp").join(members.select("grp", "kind"), "grp").select("t", "kind")
-    # Shingles with the same members say the same: one of them stays.
+    known = marks.select("kind", F.struct("n", "sign").alias("x"))
+    rows = posts.select("t", "grp", "place").join(members.select("grp", "kind"), "grp").select("t", "kind", "place")
+    # Shingles with the same members say the same: the first of them stays.
     lists = rows.groupBy("t").agg(F.count("*").alias("c"), *[F.bit_xor(F.xxhash64("kind", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
     once = lists.where("c > 1").groupBy("c", "h1", "h2").agg(F.min("t").alias("t"))
     rows = cut(rows.join(once.select("t"), "t"))
 
     def in_question() -> DataFrame:
         """Members (t, kind, comp, x) of shingles whose members are in several components."""
-        placed = relabel(rows, comps, "kind").select("t", "kind", F.col("kind_comp").alias("comp"))
+        placed = relabel(rows, comps, "kind").select("t", "kind", "place", F.col("kind_comp").alias("comp"))
         apart = placed.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("t")
-        return cut(placed.join(apart, "t").join(known, "kind"))
+        met = placed.join(apart, "t").join(known, "kind")
+        return cut(met.select("t", "kind", "comp", F.struct("x.n", "x.sign", "place").alias("x")))
 
     # First, members meet one of theirs, another in each round: that joins what is well linked without all pairs.
     # Rounds go on while they settle a tenth of what is open; what they leave is compared exactly below.
@@ -294,7 +354,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
         lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("kind", F.lit(turn)).alias("h"), "kind", "comp")).alias("l")).select("t", F.col("l.kind").alias("a"), F.col("l.comp").alias("ca"))
         lead = lead.join(known.select(F.col("kind").alias("a"), F.col("x").alias("y")), "a")
         met = live.join(lead, "t").where((F.col("comp") != F.col("ca")) & _may_link("x", "y", share)).select("a", F.col("kind").alias("b"))
-        comps = connect(verify(met, sets, share), comps)
+        comps = connect(verify(met, sets, marks, share), comps)
         discard(live)
         live = in_question()
     sizes_in = live.groupBy("t", "comp").agg(F.count("*").alias("m"))
@@ -302,14 +362,14 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
     placed = live.join(main, "t")
     minor = placed.where("comp <> main").select("t", F.col("kind").alias("a"), F.col("comp").alias("ca"), F.col("x").alias("xa"))
     other = placed.select("t", F.col("kind").alias("b"), F.col("comp").alias("cb"), F.col("x").alias("xb"), "main")
-    found = minor.join(other, "t").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))) & _may_link("xa", "xb", share))
+    found = minor.join(other, "t").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))) & _enough_left("xa", "xb", share) & _may_link("xa", "xb", share))
     # The same within a group: members that its head did not link, against all other members.
     inside = relabel(relabel(own, comps, "a"), comps, "b")
     loose = inside.where("a_comp <> b_comp").select("a", F.col("b").alias("one"), F.col("b_comp").alias("one_comp"))
     twins = loose.join(inside, "a").where((F.col("one_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("a_comp")) | (F.col("one") < F.col("b"))))
     twins = twins.select(F.col("one").alias("a"), "b")
-    comps = connect(verify(found.select("a", "b").union(twins), sets, share), comps)
-    discard(posts, pairs, members, sets, rows, live)
+    comps = connect(verify(found.select("a", "b").union(twins), sets, marks, share), comps)
+    discard(posts, pairs, members, sets, marks, rows, live)
     return comps
 
 

@@ -65,7 +65,7 @@ def brute_components(texts: dict) -> dict:
     return {i: (len(sets[i]), root(i)) for i in texts}
 
 
-@pytest.mark.parametrize("seed", [1])
+@pytest.mark.parametrize("seed", [1, 2, 3])
 def test_components_equal_brute_force(spark, seed):
     texts = dict(enumerate(random_texts(seed, 160) + ODD))
     got = jaccard.jaccard_components(documents(spark, list(texts.values()))).collect()
@@ -114,6 +114,43 @@ def test_signature_never_rules_out_a_link(spark):
         assert bits <= len(np.setxor1d(own, other))
 
 
+def test_wide_signature_folds_and_never_rules_out_a_link(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for size in (300, 500, 520, 1000, 1030, 4000, 70000):
+        own = np.unique(rng.integers(0, 1 << 60, size).astype(np.uint64))
+        near = np.unique(np.concatenate((own[rng.random(len(own)) < 0.94], rng.integers(0, 1 << 60, size // 20).astype(np.uint64))))
+        far = np.unique(rng.integers(0, 1 << 60, size).astype(np.uint64))
+        for other in (near, far):
+            common = len(np.intersect1d(own, other))
+            linked = 100 * common >= 80 * (len(own) + len(other) - common)
+            rows.append((linked, *[(len(s), jaccard.wide_signature(s).tolist()) for s in (own, other)]))
+    mark = "struct<n: bigint, wide: array<bigint>>"
+    df = spark.createDataFrame(rows, f"linked boolean, x {mark}, y {mark}")
+    got = df.select("linked", "x.n", jaccard._wide_may_link("x", "y", 80).alias("may")).collect()
+    assert all(r["may"] for r in got if r["linked"]) and sum(r["linked"] for r in got) == 7
+    assert not any(r["may"] for r in got if not r["linked"] and 520 <= r["n"] <= 4000)
+
+
+def test_borderline_copies_over_many_shapes(spark):
+    # Families whose members differ by about the share, of sizes across bands, with a passage that all families hold.
+    for seed in (11, 12):
+        rng = random.Random(seed)
+        shared = [f"common{i}" for i in range(7)]
+        texts = []
+        for family in range(12):
+            base = [f"f{family}w{i}" for i in range(rng.choice([9, 25, 60, 110]))]
+            for _ in range(9):
+                copy = list(base)
+                for _ in range(rng.randrange(1, 4)):
+                    at = rng.randrange(len(copy))
+                    copy[at : at + rng.randrange(2)] = [f"x{rng.randrange(4)}"]
+                texts.append(" ".join(rng.choice([copy, copy + shared, shared + copy])))
+        texts = dict(enumerate(texts))
+        got = jaccard.jaccard_components(documents(spark, list(texts.values()))).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts)
+
+
 def test_repeated_rows_and_missing_ids_in_components(spark):
     docs = documents(spark, ["a b c d e f g", "a b c d e f g", "a b c d e f g", "h i"], [4, 4, None, 9])
     got = sorted((r["doc_id"] or -1, r["component_id"]) for r in jaccard.jaccard_components(docs).collect())
