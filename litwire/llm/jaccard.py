@@ -185,7 +185,7 @@ def _places(ids: pa.Array) -> np.ndarray:
 def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """Sets (kind, own) and marks (kind, n, sign, wide) of the classes in ``wanted`` (kind, rep): only their documents are hashed again.
 
-    The sets are written in buckets by class, so that a join with them moves its other side and not all sets.
+    Both are written in buckets by class, so that a join with them moves its other side and not all sets.
     """
     bits = docs.sparkSession.sparkContext.broadcast(_id_filter(wanted.select("rep")))
 
@@ -211,7 +211,16 @@ def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
             signs = [pa.array([make(s) for s in own], pa.list_(pa.int64())) for make in (signature, wide_signature)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in own], pa.int64()), *signs], names=["kind", "n", "sign", "wide"])
 
-    return sets, cut(sets.mapInArrow(mark, "kind long, n long, sign array<long>, wide array<long>"))
+    return sets, cut(sets.mapInArrow(mark, "kind long, n long, sign array<long>, wide array<long>"), buckets="kind")
+
+
+def _dealt(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the row of ``rows`` for ``a`` (kind); the partners of a hot ``a`` are dealt to several tasks."""
+    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
+    heads = load.join(rows.withColumnRenamed("kind", "a"), "a")
+    heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    members = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("salt"))
+    return members.join(heads, ["a", "salt"]).drop("salt")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, marks: DataFrame, share: int = SHARE) -> DataFrame:
@@ -221,7 +230,7 @@ def verify(pairs: DataFrame, sets: DataFrame, marks: DataFrame, share: int = SHA
     each ``a`` before those of its partners, and holds one ``a`` at a time.
     """
     mark = F.struct("n", "sign", "wide")
-    marked = pairs.distinct().join(marks.select(F.col("kind").alias("a"), mark.alias("x")), "a")
+    marked = _dealt(cut(pairs.distinct()), marks.select("kind", mark.alias("x")))
     marked = marked.join(marks.select(F.col("kind").alias("b"), mark.alias("y")), "b")
     pairs = cut(marked.where(_may_link("x", "y", share) & _wide_may_link("x", "y", share)).select("a", "b"))
     load = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
