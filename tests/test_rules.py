@@ -129,3 +129,10 @@ def test_conflict_split_spreads_family_names_in_order(spark):
     )
     got = {r.ord for r in split_conflicts(with_identity(papers)).collect()}
     assert got == sequential_conflicts([(i, d, t, [x.split()[-1].lower() for x in a]) for i, d, t, a in raw])
+
+
+def test_sentences_keep_digits_that_equal_their_place(spark):
+    told = [f"{i} cases were counted in week {i}." for i in range(12)]
+    assert one(spark, text.split_sentences(F.lit(" ".join(told)))) == told
+    ends = [f"The total of the day {i} came to {i}" for i in range(12)]
+    assert one(spark, text.split_sentences(F.lit("；".join(ends)))) == [e + "；" for e in ends[:-1]] + ends[-1:]
