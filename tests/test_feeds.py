@@ -1,6 +1,8 @@
 """Feed files of both kinds in one folder."""
 
+from litwire.plans import queries
 from litwire.sources.news import read_rss
+from pyspark.sql import functions as F
 
 RSS = """<?xml version="1.0"?><rss><channel><title>c</title>
 <item><title>One &amp; all</title><link>https://n.example/1</link><description>&lt;b&gt;told&lt;/b&gt;</description><pubDate>Fri, 05 Jan 2024 10:00:00 GMT</pubDate><source url="u">Paper</source></item>
@@ -27,3 +29,11 @@ def test_items_and_entries_of_a_folder(spark, tmp_path):
 def test_folder_of_one_kind(spark, tmp_path):
     (tmp_path / "b.xml").write_text(ATOM)
     assert read_rss(spark, str(tmp_path), "feed", "en").count() == 3
+
+
+def test_word_index_is_built_without_a_shuffle(spark):
+    rows = spark.createDataFrame([(1, "b a b c a b"), (2, ""), (3, None), (4, "x"), (4, "y y")], "doc_id long, body string")
+    out = queries._word_index(rows, F.split("body", " "))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = [(r["doc_id"], r["idx"]) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted([(1, {"a": [1, 4], "b": [0, 2, 5], "c": [3]}), (2, {"": [0]}), (3, None), (4, {"x": [0]}), (4, {"y": [0, 1]})], key=repr)
