@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from litwire.session import cut
 
 #: Characters in a gram; a shorter term is filed under itself.
-GRAM = 4
+GRAM = 12
 #: A power of two.
 FIELD_BITS = 1 << 25
 #: Texts that the choice of grams looks at. They decide speed, never results.

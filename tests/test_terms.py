@@ -81,3 +81,10 @@ def test_plans_equal_plain_search(spark, negatives):
     got = match_plan(records, spark.createDataFrame(plan, schema), records["text"], negatives)
     assert sorted(map(tuple, got.select("record_id", "profile_id", "group_id").collect()), key=repr) == expected
     assert match_plan(records, spark.createDataFrame([], schema), records["text"], negatives).collect() == []
+
+
+def test_terms_that_share_short_runs_are_no_candidates(spark):
+    terms = spark.createDataFrame([(f"interdisciplin{i:03d}ary",) for i in range(300)], "term string")
+    texts = spark.createDataFrame([("some interdisciplin007ary and other interdisciplinary work",)], "text string")
+    found = term_index.candidate_terms(texts.select(*term_index.text_key(texts["text"]), "text"), terms).collect()
+    assert [r["term"] for r in found] == ["interdisciplin007ary"]
