@@ -134,7 +134,9 @@ def sketch_counts(docs: DataFrame, text_col: str, words: int = WORDS) -> np.ndar
     for row in rows:
         cells[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["cells"]), np.uint32)
     # At most 31, so that shingles with their level in front are in one order as signed and as unsigned numbers.
-    return np.minimum(np.ceil(np.log2(cells + np.float64(1))), 31).astype(np.uint8)
+    # By chunks, as doubles for all cells would take the driver eight times the sketch at once, several times over.
+    parts = (cells[i : i + CHUNK] for i in range(0, SKETCH, CHUNK))
+    return np.concatenate([np.minimum(np.ceil(np.log2(part + np.float64(1))), 31).astype(np.uint8) for part in parts])
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, share: int = SHARE) -> DataFrame:
@@ -170,11 +172,11 @@ def _id_filter(ids: DataFrame) -> bytes:
         bits = np.zeros(FILTER_BITS, bool)
         for batch in batches:
             bits[_places(batch.column(0))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
 
     total = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in ids.repartition(8).mapInArrow(mark, "bits binary").toLocalIterator():
-        total |= np.frombuffer(row["bits"], np.uint8)
+        total |= np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
     return total.tobytes()
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -617,3 +618,13 @@ def test_pipeline_stages_over_odd_rows(spark, tmp_path):
     assert {r["doc_id"] for r in kept["language_id"].collect()} == set(range(62))
     assert {r["doc_id"] for r in kept["ngram_jaccard_join"].collect()} <= set(range(62)) - {60, 61}
     assert all(r["round_trip"] for r in kept["sentencepiece"].collect())
+
+
+def test_driver_holds_no_doubles_for_all_cells_of_the_sketch(spark):
+    docs = spark.createDataFrame([(f"w{i % 3} x y z q",) for i in range(9)], "text string")
+    tracemalloc.start()
+    levels = jaccard.sketch_counts(docs, "text")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(levels[levels > 0].tolist()) == [2, 2, 2] and len(levels) == jaccard.SKETCH
+    assert peak < 8 * jaccard.SKETCH
