@@ -298,11 +298,23 @@ def _expand(pairs: DataFrame, members: DataFrame, heads: DataFrame) -> DataFrame
     return led.join(members.select("grp", F.col("kind").alias("b")), "grp").select("a", "b")
 
 
-def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col: str, words: int = WORDS, share: int = SHARE) -> DataFrame:
-    """kind, comp: components of the classes that link with any other class."""
+def met_shingles(described: DataFrame, share: int = SHARE) -> DataFrame:
+    """grp, n, place, t: prefix shingles that more than one group has, early in one of them.
+
+    All prefixes shuffle once, by shingle alone; few shingles are left to be looked at by sizes.
+    """
+    posts = described.where("n > 0 and doc_id is not null").select("grp", "n", F.posexplode("prefix").alias("place", "t")).repartition("t")
+    early = F.max(_early(F.col("n"), F.col("place"), share)).alias("early")
+    met = posts.groupBy("t").agg(F.min("grp").alias("lead"), F.max("grp").alias("last"), early).where("lead < last and early")
+    # ``met`` has a shingle once. A semi join would go below the shuffle, and a second one be needed.
+    return cut(posts.join(met.select("t"), "t").select("grp", "n", "place", "t"))
+
+
+def linked_classes(docs: DataFrame, described: DataFrame, met: DataFrame, id_col: str, text_col: str, words: int = WORDS, share: int = SHARE) -> DataFrame:
+    """kind, comp: components of the classes that link with any other class, by the shingles in ``met``."""
     classes = described.where("n > 0 and doc_id is not null")
     # Equal prefix and size: one group, led by its smallest class.
-    posts = classes.select("grp", "n", _band(F.col("n"), share).alias("band"), F.posexplode("prefix").alias("place", "t"))
+    posts = met.select("grp", "n", _band(F.col("n"), share).alias("band"), "place", "t")
     # Sizes that may link are in one band or in neighbouring ones. So each group counts in the cell of its band and in the next;
     # whoever shares no cell of a shingle with another group has no partner by it. The size of the leader decides nothing here.
     # Nor has a shingle a pair to show that comes late in all its groups.
@@ -310,6 +322,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, id_col: str, text_col:
     cells = cells.groupBy("t", "cell").agg(F.min("grp").alias("lead"), F.max("grp").alias("last"), F.max("early").alias("early")).where("lead < last and early")
     shared = cells.select("t", "lead", F.explode(F.array("cell", F.col("cell") - 1)).alias("band")).groupBy("t", "band").agg(F.min("lead").alias("lead"))
     posts = cut(posts.join(shared, ["t", "band"]).select("t", "lead", "grp", "n", "place").distinct())
+    discard(met)
 
     sizes = posts.select("grp", "n").distinct()
     pairs = posts.where("grp <> lead").groupBy("grp", "lead").agg(F.count("*").alias("votes"), F.first("n").alias("n"))
@@ -386,8 +399,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     columns are left aside. An empty table gives an empty table. Sets are
     compared by 64-bit hashes.
     """
-    described = prefixes(docs, id_col, text_col, words, share)
-    comps = linked_classes(docs, described, id_col, text_col, words, share)
+    whole = prefixes(docs, id_col, text_col, words, share)
+    met = met_shingles(whole, share)
+    # Prefixes, the larger part of the copy, are of no more use.
+    described = cut(whole.drop("prefix"))
+    discard(whole)
+    comps = linked_classes(docs, described, met, id_col, text_col, words, share)
     linkable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     classes = described.where(linkable).groupBy("kind").agg(F.min("doc_id").alias("class_id"))
     named = classes.join(comps.withColumnRenamed("node", "kind"), "kind", "left")
