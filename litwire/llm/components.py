@@ -21,9 +21,9 @@ def connect(edges: DataFrame, comps: DataFrame | None = None) -> DataFrame:
     Each round hooks every node to its smallest neighbour, follows the hooks
     to their roots, and goes on with the edges between roots that are left.
     """
-    spark = edges.sparkSession
     if comps is None:
-        comps = spark.createDataFrame([], "node long, comp long")
+        # Made by the JVM: a table of Python rows, even of none, starts further Python workers on the executors.
+        comps = edges.sparkSession.range(0).select(F.col("id").alias("node"), F.col("id").alias("comp"))
     graph = relabel(relabel(edges, comps, "a"), comps, "b").select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
     graph = cut(graph.where("a <> b").distinct())
     while not graph.isEmpty():

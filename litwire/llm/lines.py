@@ -13,6 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -148,8 +149,8 @@ def dropped_lines(hashes: DataFrame) -> DataFrame:
     hot = {r["_shard"]: r["n"] for r in shared.groupBy("_shard").agg(F.sum("_n").alias("n")).collect()}
     parts = [max(1, math.ceil((lines / shards + hot.get(s, 0)) / PROBES)) for s in range(shards)]
     spark, deal = shared.sparkSession, list(enumerate(parts))
-    copies = spark.createDataFrame([(s, i) for s, n in deal for i in range(n)], "_shard int, _salt int")
-    salts = spark.createDataFrame(deal, "_shard int, _parts int")
+    salts = spark.createDataFrame(pa.table([pa.array(c, pa.int32()) for c in zip(*deal, strict=True)], ["_shard", "_parts"]))
+    copies = salts.select("_shard", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_salt"))
     index = shared.groupBy("_shard").applyInPandas(_build, INDEX).join(copies, "_shard")
     probes = hashes.withColumn("_shard", shard).join(F.broadcast(salts), "_shard")
     probes = probes.withColumn("_salt", F.pmod(F.xxhash64("_o", "_t", "_at"), F.col("_parts")).cast("int")).drop("_parts")
