@@ -33,7 +33,7 @@ def review_groups(
     order = [F.col("ord")]
     while True:
         ranked = top_k(open_items, stop, order, ["block"], name="_r").where(F.col("_r") > start).drop("_r")
-        pairs = similar_pairs(ranked, low, below=high, right=open_items, stats=stats).where(F.col("a") < F.col("b"))
+        pairs = similar_pairs(ranked, low, below=high, right=open_items, stats=stats, ids_only=True).where(F.col("a") < F.col("b"))
         near = top_k(pairs.select("block", "a", "b"), size - 1, [F.col("b")], ["block", "a"], name="pos")
         parts.append(cut(near))
         found = reduce(DataFrame.unionByName, parts)
